@@ -64,11 +64,15 @@ def duplicate_match_guard(source: DataFrame, target_keys: DataFrame, key: str) -
     Nothing is collected to the driver.
     """
     counts = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    matched = counts.join(target_keys, key, "left_semi")
+    hits = target_keys.groupBy(F.col(key).alias("_target_key")).agg(F.count(F.lit(1)).alias("_m"))
+    matched = counts.join(hits, counts[key] == hits["_target_key"], "inner")
+    # The predicate needs a count from each side, and neither count is part of
+    # the join equality, so the optimizer can neither push it below the join
+    # nor rewrite it onto one side: it is evaluated on matched keys only.
     fail: Column = F.when(
-        F.col("_n") > 1,
+        (F.col("_n") > 1) & (F.col("_m") > 0),
         F.raise_error(F.concat(F.lit("upsert: source key matched more than once: "),
-                               F.col(key).cast("string"))),
+                               F.col("_target_key").cast("string"))),
     )
     return matched.filter(fail.isNotNull())
 

@@ -10,7 +10,8 @@ the date as a group key, so one pass over the range's silver partitions gives
 the same rows as one refresh per date.
 
 Gold frames are small per date (at most products x branches, or branches x
-categories, rows), so they are clustered one file per date and sorted by key.
+categories, rows), so a rebalanced write gives about one file per date, sorted
+by key.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def silver_inputs(spark: SparkSession, lake: Lake, spec: GoldSpec | str,
 
 
 def _write_layout(spec: GoldSpec) -> dict:
-    return {"cluster": True, "sort_by": [k for k in spec.keys if k != spec.date_column]}
+    return {"rebalance": True, "sort_by": [k for k in spec.keys if k != spec.date_column]}
 
 
 def build(spark: SparkSession, lake: Lake, name: GoldSpec | str) -> dict:

@@ -314,12 +314,12 @@ for _src in SOURCES:
     register(f"ingest_{_src}", O.with_ctes(f"SELECT * FROM {_src}", _src))(_ingest_query(_src))
 
 
-def _silver_lake(spark, sf, label: str, before=None) -> Lake:
-    """A lake whose silver tables hold the fixture rows (dates < ``before``)."""
+def _silver_lake(spark, sf, label: str, names, before=None) -> Lake:
+    """A lake whose silver tables ``names`` hold the fixture rows (dates < ``before``)."""
     lake = new_lake(spark, label)
-    for name, build in TD.BUILDERS.items():
+    for name in names:
         spec = SOURCES[name]
-        df = build(spark, sf)
+        df = TD.BUILDERS[name](spark, sf)
         if before is not None:
             df = df.filter(F.col(spec.date_column) < F.lit(as_date(before)))
         tables.create_table(spark, lake.silver(spec), df, spec.date_column)
@@ -332,7 +332,7 @@ def refresh_incremental(spark, sf):
     """Gold built from the silver history before the processing date, then the
     date's silver rows arrive and the gold date is refreshed (twice)."""
     day = as_date(O.PROCESSING_DATE)
-    lake = _silver_lake(spark, sf, "refresh", before=day)
+    lake = _silver_lake(spark, sf, "refresh", GOLDS["produtos"].inputs, before=day)
     gold_jobs.refresh(spark, lake, "produtos", day)  # first load: whole history
     for name in GOLDS["produtos"].inputs:
         spec = SOURCES[name]
@@ -349,7 +349,7 @@ def backfill_range(spark, sf):
     """Gold first built for every date up to the middle of the range, then the
     whole range recomputed in one job over the range's silver partitions: the
     dates already there are replaced, the later ones added."""
-    lake = _silver_lake(spark, sf, "backfill")
+    lake = _silver_lake(spark, sf, "backfill", GOLDS["produtos"].inputs)
     lo, hi = as_date(O.DATE_FROM), as_date(O.DATE_TO)
     middle = lo + (hi - lo) / 2
     gold_jobs.backfill(spark, lake, "produtos", as_date("1900-01-01"), middle)  # creates

@@ -220,31 +220,32 @@ def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _layout(df: DataFrame, col: str, cluster: bool, sort_by: list[str] | None) -> DataFrame:
+def _layout(df: DataFrame, col: str, rebalance: bool, sort_by: list[str] | None) -> DataFrame:
     """Physical layout of a write.
 
-    ``cluster`` gathers each date in one task (one file per date); only for
-    aggregated frames, whose size per date is bounded by the number of groups.
-    Raw rows keep the scan's partitioning, so a date holding a third of the
-    data is still written by many tasks.
+    ``rebalance`` asks AQE to gather rows by date and then cut the result into
+    partitions of the advisory size: a small date lands in one file, while a
+    date holding a third of all rows is split over as many tasks as its size
+    needs (never one giant task). Rows are sorted by date and keys inside each
+    file, so min/max statistics let later scans skip row groups.
     """
-    if cluster:
-        df = df.repartition(col)
+    if rebalance:
+        df = df.hint("rebalance", col)
     if sort_by:
         df = df.sortWithinPartitions(col, *sort_by)
     return df
 
 
 def create_table(spark: SparkSession, path: str, df: DataFrame, col: str,
-                 cluster: bool = False, sort_by: list[str] | None = None) -> None:
+                 rebalance: bool = True, sort_by: list[str] | None = None) -> None:
     """First load: the frame becomes the whole table."""
-    _layout(df, col, cluster, sort_by).write.mode("overwrite").partitionBy(col).parquet(path)
+    _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(path)
     _write_schema(spark, path, df.schema, col)
 
 
 def write_partitions(spark: SparkSession, path: str, df: DataFrame,
                      replace: Iterable[dt.date | None] = (), append_others: bool = True,
-                     cluster: bool = False, sort_by: list[str] | None = None) -> dict:
+                     rebalance: bool = True, sort_by: list[str] | None = None) -> dict:
     """Write ``df`` into the table in one Spark job.
 
     Each date in ``replace`` ends up holding exactly the frame's rows of that
@@ -263,7 +264,7 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
     fs = _FS(spark, path)
     stage_id = uuid.uuid4().hex
     stage = f"{path}/{STAGING}/{stage_id}"
-    _layout(df, col, cluster, sort_by).write.mode("overwrite").partitionBy(col).parquet(stage)
+    _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(stage)
 
     staged = {}
     for name, is_dir in fs.children(stage):
@@ -356,9 +357,13 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str) ->
 
     counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hits = target.select(key, col).join(counts, key, "inner")
+    # The check names a column of each side, so the optimizer cannot evaluate
+    # it below the join, i.e. on source keys that match nothing.
     checked = hits.filter(
         F.when(F.col("_n") > 1, F.raise_error(F.concat(
-            F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"))))
+            F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"),
+            F.lit(" (target date "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")),
+            F.lit(")"))))
         .isNull()
     )
     touched = checked.select(col).union(src.select(col)).distinct()

@@ -1,0 +1,173 @@
+"""Stored tables: create, replace, append with schema evolution, upsert, and
+recovery of an interrupted write."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import types as T
+
+from lakeledger.sources import tables
+
+D1, D2, D3 = dt.date(2025, 9, 19), dt.date(2025, 9, 20), dt.date(2025, 9, 21)
+SCHEMA = T.StructType([
+    T.StructField("k", T.StringType()),
+    T.StructField("v", T.IntegerType()),
+    T.StructField("d", T.DateType()),
+])
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def make(spark, data, schema=SCHEMA):
+    return spark.createDataFrame(data, schema)
+
+
+@pytest.fixture()
+def path(lake):
+    return f"{lake.root}/silver/t/t"
+
+
+def test_missing_table(spark, path):
+    assert not tables.table_exists(spark, path)
+    with pytest.raises(tables.TableNotFound):
+        tables.scan_table(spark, path)
+
+
+def test_create_and_scan(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2)]), "d")
+    assert tables.table_exists(spark, path)
+    df = tables.scan_table(spark, path)
+    assert df.columns == ["k", "v", "d"]
+    assert rows(df) == [("a", 1, D1), ("b", 2, D2)]
+    assert sorted(tables.list_partitions(spark, path, "d")) == [D1, D2]
+
+
+def test_unfinished_first_load_is_not_a_table(spark, path):
+    os.makedirs(f"{path}/d=2025-09-19")
+    assert not tables.table_exists(spark, path)
+
+
+def test_replace_twice_equals_once(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2)]), "d")
+    inc = make(spark, [("c", 3, D2), ("d", 4, D2)])
+    tables.replace_dates(spark, path, inc, [D2])
+    once = rows(tables.scan_table(spark, path))
+    tables.replace_dates(spark, path, inc, [D2])
+    assert rows(tables.scan_table(spark, path)) == once == [("a", 1, D1), ("c", 3, D2), ("d", 4, D2)]
+
+
+def test_empty_increment_clears_the_date(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2)]), "d")
+    tables.replace_dates(spark, path, make(spark, []), [D2])
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1)]
+
+
+def test_replace_keeps_null_dates(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("n", 0, None)]), "d")
+    tables.replace_dates(spark, path, make(spark, [("b", 2, D1)]), [D1])
+    assert rows(tables.scan_table(spark, path)) == [("b", 2, D1), ("n", 0, None)]
+
+
+def test_replace_with_strays_appends_them(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2)]), "d")
+    out = tables.write_partitions(spark, path, make(spark, [("c", 3, D2), ("x", 9, D1)]),
+                                  replace=[D2], append_others=True)
+    assert out == {"replaced": [D2], "appended": [D1]}
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("c", 3, D2), ("x", 9, D1)]
+
+
+def test_append_adds_a_column(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    wide = T.StructType(SCHEMA.fields + [T.StructField("extra", T.StringType())])
+    tables.append_rows(spark, path, make(spark, [("b", 2, D2, "x")], wide))
+    df = tables.scan_table(spark, path)
+    assert df.columns == ["k", "v", "d", "extra"]
+    assert rows(df) == [("a", 1, D1, None), ("b", 2, D2, "x")]
+
+
+def test_append_with_missing_column(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    narrow = T.StructType([SCHEMA.fields[0], SCHEMA.fields[2]])
+    tables.append_rows(spark, path, make(spark, [("b", D2)], narrow))
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("b", None, D2)]
+
+
+def test_upsert_updates_inserts_and_moves(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D1), ("c", 3, D2)]), "d")
+    src = make(spark, [("b", 20, D3), ("c", 30, D2), ("z", 99, D3)])
+    tables.upsert_table(spark, path, src, "k")
+    once = rows(tables.scan_table(spark, path))
+    assert once == [("a", 1, D1), ("b", 20, D3), ("c", 30, D2), ("z", 99, D3)]
+    tables.upsert_table(spark, path, src, "k")
+    assert rows(tables.scan_table(spark, path)) == once
+
+
+def test_upsert_null_keys_never_match(spark, path):
+    tables.create_table(spark, path, make(spark, [(None, 1, D1)]), "d")
+    tables.upsert_table(spark, path, make(spark, [(None, 2, D1)]), "k")
+    assert rows(tables.scan_table(spark, path)) == [(None, 1, D1), (None, 2, D1)]
+
+
+def test_upsert_repeated_matched_key_fails(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    before = rows(tables.scan_table(spark, path))
+    with pytest.raises(Exception, match="matched more than once"):
+        tables.upsert_table(spark, path, make(spark, [("a", 2, D1), ("a", 3, D1)]), "k")
+    assert rows(tables.scan_table(spark, path)) == before
+
+
+def test_upsert_repeated_new_key_is_inserted_twice(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    tables.upsert_table(spark, path, make(spark, [("n", 2, D1), ("n", 3, D1)]), "k")
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("n", 2, D1), ("n", 3, D1)]
+
+
+def test_upsert_drops_extra_source_columns(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    wide = T.StructType(SCHEMA.fields + [T.StructField("extra", T.StringType())])
+    tables.upsert_table(spark, path, make(spark, [("a", 5, D1, "x")], wide), "k")
+    df = tables.scan_table(spark, path)
+    assert df.columns == ["k", "v", "d"]
+    assert rows(df) == [("a", 5, D1)]
+
+
+def _stage_write(spark, path, data, replace):
+    """Stage and commit a write without applying it (a crash right after the
+    commit file)."""
+    stage = f"{path}/{tables.STAGING}/crashed"
+    make(spark, data).write.partitionBy("d").parquet(stage)
+    commit = {"column": "d", "replace": [tables.partition_dir("d", x) for x in replace],
+              "append": []}
+    with open(f"{stage}/{tables.COMMIT}", "w") as f:
+        json.dump(commit, f)
+    return stage
+
+
+def test_recover_finishes_a_committed_write(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2)]), "d")
+    _stage_write(spark, path, [("c", 3, D2)], [D2])
+    # Half done: the old partition was already moved out.
+    os.makedirs(f"{path}/{tables.TRASH}/crashed", exist_ok=True)
+    os.rename(f"{path}/d=2025-09-20", f"{path}/{tables.TRASH}/crashed/d=2025-09-20")
+    assert tables.table_exists(spark, path)  # runs recovery
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("c", 3, D2)]
+    assert not os.path.exists(f"{path}/{tables.STAGING}/crashed")
+
+
+def test_recover_drops_an_uncommitted_write(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    stage = f"{path}/{tables.STAGING}/partial"
+    make(spark, [("z", 9, D1)]).write.partitionBy("d").parquet(stage)
+    tables.recover(spark, path)
+    assert not os.path.exists(stage)
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1)]
+
+
+def test_staging_is_invisible_to_plain_readers(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    make(spark, [("z", 9, D1)]).write.partitionBy("d").parquet(f"{path}/{tables.STAGING}/x")
+    assert rows(spark.read.parquet(path).select("k", "v", "d")) == [("a", 1, D1)]
