@@ -355,3 +355,21 @@ def backfill_range(spark, sf):
     gold_jobs.backfill(spark, lake, "produtos", as_date("1900-01-01"), middle)  # creates
     gold_jobs.backfill(spark, lake, "produtos", lo, hi)
     return tables.scan_table(spark, lake.gold("produtos"))
+
+
+def _stream_query(source: str):
+    def run(spark, sf):
+        """Daily files exported to the bronze folder, then loaded by the
+        file-watching stream (one catch-up run tracks every file once)."""
+        from lakeledger.streaming.bronze_watch import catch_up
+
+        lake = new_lake(spark, f"stream_{source}")
+        spec = SOURCES[source]
+        export_daily(spark, TD.BUILDERS[source](spark, sf), lake, spec)
+        catch_up(spark, lake, spec, checkpoint=f"{lake.root}/_streams/{source}")
+        return tables.scan_table(spark, lake.silver(spec))
+    return run
+
+
+for _src in ("frete", "devolucao"):
+    register(f"stream_ingest_{_src}", O.with_ctes(f"SELECT * FROM {_src}", _src))(_stream_query(_src))
