@@ -55,26 +55,31 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_match_guard(source: DataFrame, target_keys: DataFrame, key: str) -> DataFrame:
-    """An always-empty frame whose evaluation fails when a source key that
-    matches a target row occurs more than once in the source.
-
-    The check runs inside the job: the source is counted per key (a partial
-    aggregate), semi-joined with the target keys, and any surviving key raises.
-    Nothing is collected to the driver.
+def source_key_counts(source: DataFrame, key: str) -> DataFrame:
+    """One row per source key with its number of rows (``_n``): a partial
+    aggregate, so a key repeated a million times leaves each map task as one
+    row and the frame joined against the target never holds a hot key."""
+    return source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def not_matched(target: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key is not in the source, failing the job if a
+    matched key occurs more than once in the source.
+
+    One left join of the target with the per-key counts does both: rows
+    without a count are kept, rows with a count of 1 are dropped (the source
+    row replaces them), and a count above 1 raises inside the task. The
+    predicate is true for a missing count, so the optimizer can neither turn
+    the outer join into an inner one nor push the check below the join; it
+    is evaluated on matched keys only. NULL keys never match.
     """
-    counts = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hits = target_keys.groupBy(F.col(key).alias("_target_key")).agg(F.count(F.lit(1)).alias("_m"))
-    matched = counts.join(hits, counts[key] == hits["_target_key"], "inner")
-    # The predicate needs a count from each side, and neither count is part of
-    # the join equality, so the optimizer can neither push it below the join
-    # nor rewrite it onto one side: it is evaluated on matched keys only.
-    fail: Column = F.when(
-        (F.col("_n") > 1) & (F.col("_m") > 0),
+    n = F.col("_n")
+    keep: Column = F.when(
+        n > 1,
         F.raise_error(F.concat(F.lit("upsert: source key matched more than once: "),
-                               F.col("_target_key").cast("string"))),
-    )
-    return matched.filter(fail.isNotNull())
+                               F.col(key).cast("string"))),
+    ).otherwise(n.isNull())
+    return target.join(counts, key, "left").filter(keep).select(*target.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -85,8 +90,4 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     matched key occurring twice in the source is an error (raised in a task).
     """
     src = conform(source, target)
-    kept = target.join(src.select(key), key, "left_anti")
-    guard = duplicate_match_guard(src, target.select(key), key).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-    )
-    return kept.unionByName(src).unionByName(guard)
+    return not_matched(target, source_key_counts(src, key), key).unionByName(src)

@@ -19,7 +19,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeledger.functions.dates import DateLike, as_date
 from lakeledger.operators import gold as G
@@ -45,17 +44,8 @@ def silver_inputs(spark: SparkSession, lake: Lake, spec: GoldSpec | str,
                   lo: DateLike | None = None, hi: DateLike | None = None) -> dict[str, DataFrame]:
     """The silver tables a gold table needs, restricted to [lo, hi] by their
     date column (a partition filter: only those folders are listed and read)."""
-    out = {}
-    for name in _spec(spec).inputs:
-        src = SOURCES[name]
-        df = tables.scan_table(spark, lake.silver(src))
-        c = F.col(src.date_column)
-        if lo is not None:
-            df = df.filter(c >= F.lit(as_date(lo)))
-        if hi is not None:
-            df = df.filter(c <= F.lit(as_date(hi)))
-        out[name] = df
-    return out
+    return {name: tables.scan_table(spark, lake.silver(SOURCES[name]), lo, hi)
+            for name in _spec(spec).inputs}
 
 
 def _write_layout(spec: GoldSpec) -> dict:

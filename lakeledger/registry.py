@@ -289,9 +289,7 @@ def scan_table(spark, sf):
     lake = new_lake(spark, "scan_table")
     spec = SOURCES["tributos"]
     tables.create_table(spark, lake.silver(spec), TD.tributos(spark, sf), spec.date_column)
-    df = tables.scan_table(spark, lake.silver(spec))
-    return df.filter(F.col(spec.date_column).between(F.lit(as_date(O.DATE_FROM)),
-                                                     F.lit(as_date(O.DATE_TO))))
+    return tables.scan_table(spark, lake.silver(spec), O.DATE_FROM, O.DATE_TO)
 
 
 def _ingest_query(source: str):

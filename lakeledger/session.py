@@ -31,6 +31,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # One JVM: a "distributed" file listing only adds a job per scan of a
+        # table with many date folders. Cluster sessions keep Spark's default.
+        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     builder = builder.config("spark.driver.memory", os.environ.get("LAKELEDGER_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -176,16 +176,36 @@ def read_schema(spark: SparkSession, path: str) -> tuple[T.StructType, str]:
     return T.StructType.fromJson(meta["schema"]), meta["partition_column"]
 
 
-def scan_table(spark: SparkSession, path: str) -> DataFrame:
+def scan_table(spark: SparkSession, path: str, lo: dt.date | str | None = None,
+               hi: dt.date | str | None = None) -> DataFrame:
     """A stored table as a DataFrame, columns in table order.
 
     The schema comes from the table's own schema file, so no Parquet footer is
     read to plan the scan, and partitions written before a column was added
     read that column as NULL. Filters on the date column prune folders.
+
+    With ``lo`` and/or ``hi`` only the dates in [lo, hi] are read, and only
+    their folders are handed to Spark: the folder names come from one listing
+    of the table root, so a one-day refresh of a table holding years of dates
+    lists the files of that day, not of every day.
     """
-    schema, _ = read_schema(spark, path)
+    schema, col = read_schema(spark, path)
+    reader = spark.read.schema(schema).option("basePath", path)
     try:
-        df = spark.read.schema(schema).option("basePath", path).parquet(path)
+        if lo is None and hi is None:
+            df = reader.parquet(path)
+        else:
+            lo_d = None if lo is None else as_date(lo)
+            hi_d = None if hi is None else as_date(hi)
+            dirs = [f"{path}/{partition_dir(col, d)}"
+                    for d in sorted(d for d in list_partitions(spark, path, col) if d is not None)
+                    if (lo_d is None or d >= lo_d) and (hi_d is None or d <= hi_d)]
+            df = reader.parquet(*dirs) if dirs else spark.createDataFrame([], schema)
+            c = F.col(col)
+            if lo_d is not None:
+                df = df.filter(c >= F.lit(lo_d))
+            if hi_d is not None:
+                df = df.filter(c <= F.lit(hi_d))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise TableNotFound(path) from e
@@ -348,14 +368,14 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str) ->
     source rows. A row whose date changed moves partition. Extra source
     columns are dropped (no schema evolution on upsert), as in a MERGE.
     """
-    from lakeledger.operators.maintenance import conform
+    from lakeledger.operators.maintenance import conform, not_matched, source_key_counts
 
     recover(spark, path)
     target = scan_table(spark, path)
     _, col = read_schema(spark, path)
     src = conform(source, target)
 
-    counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = source_key_counts(src, key)
     hits = target.select(key, col).join(counts, key, "inner")
     # The check names a column of each side, so the optimizer cannot evaluate
     # it below the join, i.e. on source keys that match nothing.
@@ -370,7 +390,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str) ->
     # Bounded by the number of distinct dates: partition metadata, not data.
     dates = [r[0] for r in touched.collect()]
 
-    kept = target.filter(_date_filter(col, dates)).join(src.select(key), key, "left_anti")
+    kept = not_matched(target.filter(_date_filter(col, dates)), counts, key)
     result = write_partitions(spark, path, kept.unionByName(src), replace=dates,
                               append_others=False)
     return result

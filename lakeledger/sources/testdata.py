@@ -13,6 +13,8 @@ checks before it broadcasts them).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +27,19 @@ TAX_TYPES = ["ICMS", "ISS", "PIS", "COFINS", "IRPJ", "CSLL", "INSS", "IPI"]
 PRODUCTS = 50
 
 
+# One relation per (session, file): the driver's tables are read-only, so the
+# file listing and Parquet footer are read once per session, as they would be
+# for a catalog table, instead of once per use.
+_RELATIONS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = (
+    weakref.WeakKeyDictionary())
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _RELATIONS.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 def _lines_with_branch(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
