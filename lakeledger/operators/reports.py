@@ -10,9 +10,11 @@ meant to leave the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,3 +104,32 @@ def default_branch(df: DataFrame) -> DataFrame:
 def has_rows(df: DataFrame) -> bool:
     """Whether a table holds any row; reads at most one row."""
     return not df.isEmpty()
+
+
+def collect_series(series: DataFrame, max_rows: int = 100_000):
+    """An aggregated report as a pandas frame, for a chart or a table.
+
+    Only the aggregated series (at most dates x chosen branches rows) is meant
+    to reach the driver: at most ``max_rows + 1`` rows are transferred, and a
+    larger result is refused instead of being collected.
+    """
+    out = series.limit(max_rows + 1).toPandas()
+    if len(out) > max_rows:
+        raise ValueError(f"report has more than {max_rows} rows; aggregate or filter it first")
+    return out
+
+
+@contextmanager
+def report_batch(gold: DataFrame) -> Iterator[DataFrame]:
+    """Re-use one gold table across a group of report questions.
+
+    The table is persisted on the executors (memory, spilling to disk; a lost
+    block is recomputed from the plan) for the duration of the block and
+    released afterwards. Gold tables are aggregates, bounded by dates x
+    products x branches, so they fit the cache at any input size.
+    """
+    cached = gold.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()

@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 from lakeledger.operators import gold as G
 from lakeledger.operators import maintenance as M
 from lakeledger.operators import reports as R
+from lakeledger import oracle as O
 from lakeledger.registry import QUERIES
 
 D1, D2 = dt.date(2025, 9, 19), dt.date(2025, 9, 20)
@@ -129,3 +130,30 @@ def test_gold_freight_resolves_names_case_insensitively(spark):
                       T.StructField("TRANSPORTADORA", T.StringType()),
                       T.StructField("valor_frete", T.DecimalType(18, 2))]))
     assert G.gold_freight(spark, df).collect()[0]["TotalFretePago"] == 1.25
+
+
+def test_report_batch_caches_then_releases(spark):
+    gold = QUERIES["gold_taxes"](spark, SF_SMALL)
+    with R.report_batch(gold) as g:
+        assert g.is_cached
+        a = R.report_series(g, R.REPORTS["impostos"], branches=O.BRANCHES,
+                            date_from=O.DATE_FROM, date_to=O.DATE_TO)
+        b = R.report_series(g, R.REPORTS["impostos"], branches=O.BRANCHES[:1],
+                            date_from=O.DATE_FROM, date_to=O.DATE_TO)
+        assert a.count() > 0 and b.count() <= a.count()
+    assert not g.is_cached
+
+
+def test_collect_series_is_bounded(spark):
+    series = QUERIES["report_taxes"](spark, SF_SMALL)
+    pdf = R.collect_series(series)
+    assert list(pdf.columns) == ["CodigoData", "FilialId", "TotalImpostoPago"]
+    assert len(pdf) == series.count()
+    assert list(pdf["CodigoData"]) == sorted(pdf["CodigoData"])
+    with pytest.raises(ValueError):
+        R.collect_series(series, max_rows=len(pdf) - 1)
+
+
+def test_has_rows(spark):
+    assert R.has_rows(QUERIES["gold_taxes"](spark, SF_SMALL))
+    assert not R.has_rows(QUERIES["report_no_branch"](spark, SF_SMALL))
