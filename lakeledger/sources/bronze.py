@@ -16,6 +16,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,13 @@ def read_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
 
 
 FILE_DAY = "_dia_arquivo"
+HEADER_READERS = 16
+
+
+def _header_or_missing(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    if not _FS(spark, path).exists(path):
+        raise FileNotFoundError(path)
+    return read_header(spark, path)
 
 
 def scan_csv(spark: SparkSession, paths: str | Iterable[str], spec: SourceSpec,
@@ -78,11 +86,11 @@ def scan_csv(spark: SparkSession, paths: str | Iterable[str], spec: SourceSpec,
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        fs = _FS(spark, p)
-        if not fs.exists(p):
-            raise FileNotFoundError(p)
-        header = read_header(spark, p)
+    # One small read per file; issued from a few threads so a back-fill of
+    # many daily files on object storage is not a long serial loop.
+    with ThreadPoolExecutor(max_workers=min(HEADER_READERS, max(1, len(paths)))) as pool:
+        headers = list(pool.map(lambda p: _header_or_missing(spark, p), paths))
+    for p, header in zip(paths, headers):
         if header is not None:
             groups.setdefault(header, []).append(p)
     frames = []
@@ -131,7 +139,7 @@ def export_daily(spark: SparkSession, df: DataFrame, lake: Lake, spec: SourceSpe
     fs = _FS(spark, lake.root)
     base = lake.bronze_dir(spec)
     stage = f"{base}/_export"
-    (df.withColumn("_dia", F.col(spec.date_column))
+    (df.withColumn("_dia", F.col(spec.date_column)).hint("rebalance", "_dia")
        .write.mode("overwrite").option("header", True)
        .partitionBy("_dia").csv(stage))
     days = []
