@@ -62,32 +62,40 @@ def source_key_counts(source: DataFrame, key: str) -> DataFrame:
     return source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def not_matched(target: DataFrame, counts: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key is not in the source, failing the job if a
-    matched key occurs more than once in the source.
-
-    One left join of the target with the per-key counts does both: rows
-    without a count are kept, rows with a count of 1 are dropped (the source
-    row replaces them), and a count above 1 raises inside the task. The
-    predicate is true for a missing count, so the optimizer can neither turn
-    the outer join into an inner one nor push the check below the join; it
-    is evaluated on matched keys only. NULL keys never match.
-    """
-    n = F.col("_n")
-    keep: Column = F.when(
-        n > 1,
-        F.raise_error(F.concat(F.lit("upsert: source key matched more than once: "),
-                               F.col(key).cast("string"))),
-    ).otherwise(n.isNull())
-    return target.join(counts, key, "left").filter(keep).select(*target.columns)
-
-
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Update every column where the key matches, insert the rest.
-
-    Target rows whose key occurs in the source are replaced by the source rows;
-    NULL keys never match, so such rows are inserted and old ones kept. A
-    matched key occurring twice in the source is an error (raised in a task).
+    """Update every column where the key matches, insert the rest (a MERGE
+    with "update all when matched, insert all when not matched").
+
+    Every target row whose key occurs in the source takes that source row's
+    values (two target rows with one key give two updated rows); source rows
+    whose key matches no target row are inserted. NULL keys never match, so
+    such rows are inserted and old ones kept. A matched key occurring twice in
+    the source is an error, raised inside the task that meets it.
+
+    Plan: the source rows carry their per-key count (``source_key_counts``,
+    one row per key), the target is left-joined with them once, and the
+    source rows without a target match are found by an anti-join against the
+    target's distinct keys. The source rows are shuffled once on the key (the
+    exchange is reused by the anti-join); a hot key on the target side is
+    split by AQE's skew handling in the left join and pre-aggregated in the
+    key list.
     """
     src = conform(source, target)
-    return not_matched(target, source_key_counts(src, key), key).unionByName(src)
+    cols = target.columns
+    others = [c for c in cols if c != key]
+    n = F.col("_n")
+    new = src.join(source_key_counts(src, key), key, "inner").select(
+        key, "_n", *[F.col(c).alias(f"_new_{c}") for c in others])
+    joined = target.join(new, key, "left")
+    # The check reads the count (source side) and the key (target side), so
+    # it can be neither pushed below the join nor evaluated on unmatched keys.
+    fail = F.when(n > 1, F.raise_error(F.concat(
+        F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"))))
+    current = joined.filter(fail.isNull()).select(*[
+        F.col(c) if c == key else F.when(n.isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+        for c in cols
+    ])
+    # Keys present in the target: a key-only scan, aggregated map-side, so a
+    # hot target key leaves each task as one row.
+    inserted = src.join(target.select(key).distinct(), key, "left_anti")
+    return current.unionByName(inserted)

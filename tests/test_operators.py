@@ -64,6 +64,23 @@ def test_upsert_frame_repeated_matched_key_fails(kv):
         M.upsert(t, kv([("a", 2, D1), ("a", 3, D1)]), "k").collect()
 
 
+def test_upsert_frame_updates_every_matched_target_row(kv):
+    t = kv([("n", 2, D1), ("n", 3, D1), ("a", 1, D1)])
+    out = rows(M.upsert(t, kv([("n", 7, D2)]), "k"))
+    assert out == rows(kv([("a", 1, D1), ("n", 7, D2), ("n", 7, D2)]))
+
+
+def test_upsert_frame_with_hot_keys(kv):
+    """A third of the target shares one (NULL) key and a third of the source
+    one new key: every row is kept, updated or inserted as for any key."""
+    t = kv([(None, i, D1) for i in range(50)] + [(f"t{i}", i, D1) for i in range(100)])
+    s = kv([("hot", i, D2) for i in range(50)] + [(f"t{i}", -i, D2) for i in range(0, 100, 2)])
+    expected = ([(None, i, D1) for i in range(50)]
+                + [(f"t{i}", i, D1) if i % 2 else (f"t{i}", -i, D2) for i in range(100)]
+                + [("hot", i, D2) for i in range(50)])
+    assert rows(M.upsert(t, s, "k")) == rows(kv(expected))
+
+
 def test_ticket_half_up_and_zero_units(spark):
     df = spark.createDataFrame(
         [(D1, 1, "X", 2, Decimal("2.01")),      # 1.005 -> 1.01 (tie goes up)

@@ -126,6 +126,13 @@ def test_upsert_repeated_new_key_is_inserted_twice(spark, path):
     assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("n", 2, D1), ("n", 3, D1)]
 
 
+def test_upsert_updates_every_matched_row(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    tables.upsert_table(spark, path, make(spark, [("n", 2, D1), ("n", 3, D2)]), "k")
+    tables.upsert_table(spark, path, make(spark, [("n", 9, D3)]), "k")
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("n", 9, D3), ("n", 9, D3)]
+
+
 def test_upsert_drops_extra_source_columns(spark, path):
     tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
     wide = T.StructType(SCHEMA.fields + [T.StructField("extra", T.StringType())])
