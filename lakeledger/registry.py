@@ -8,6 +8,7 @@ whole tables; the only limit is the 5-row preview, which is the feature.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -315,12 +316,17 @@ for _src in SOURCES:
 def _silver_lake(spark, sf, label: str, names, before=None) -> Lake:
     """A lake whose silver tables ``names`` hold the fixture rows (dates < ``before``)."""
     lake = new_lake(spark, label)
-    for name in names:
+
+    def create(name: str) -> None:
         spec = SOURCES[name]
         df = TD.BUILDERS[name](spark, sf)
         if before is not None:
             df = df.filter(F.col(spec.date_column) < F.lit(as_date(before)))
         tables.create_table(spark, lake.silver(spec), df, spec.date_column)
+
+    # Independent tables: their jobs are submitted together and share the cluster.
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        list(pool.map(create, names))
     return lake
 
 
