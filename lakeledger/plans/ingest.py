@@ -5,11 +5,12 @@ table from that file; afterwards an append-only source replaces the file's
 date (rows of other dates in the file are appended to their own dates, and
 reported), and the returns source is upserted on its key.
 
-``ingest_range`` loads many daily files in one Spark job when that gives the
-same table as loading them one by one -- i.e. when no file holds rows of
-another date (append sources) and no key occurs in two files (upsert source).
-Both conditions are checked with one aggregate over the files; otherwise the
-files are loaded one by one, in date order.
+``ingest_range`` loads many daily files with the result of loading them one
+by one in date order. For an append source that is always one pass: rows of
+another date in a file are kept or dropped by a row filter that states what
+the day-by-day replaces would leave. For the upsert source it is one job when
+no key occurs in two files (checked with one aggregate); otherwise the files
+are loaded one by one.
 """
 
 from __future__ import annotations
@@ -56,25 +57,34 @@ def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
     if not days:
         return {"source": spec.name, "days": [], "mode": "none"}
     df = scan_csv(spark, [daily_path(lake, spec, d) for d in days], spec, with_file_day=True)
+    target = lake.silver(spec)
     if spec.append_only:
-        conflicts = df.filter(~F.col(spec.date_column).eqNullSafe(F.col(FILE_DAY)))
-    else:
-        conflicts = (df.filter(F.col(spec.key_column).isNotNull())
-                     .groupBy(spec.key_column)
-                     .agg(F.countDistinct(FILE_DAY).alias("_files"))
-                     .filter(F.col("_files") > 1))
+        # Loading day by day in date order, a row dated D found in the file of
+        # day F survives unless D's own file is in the batch and loads after
+        # F (its replace then clears D). That is a row filter, so the whole
+        # batch is one pass over the files and one write, strays included.
+        c = F.col(spec.date_column)
+        rows = df.filter(c.isNull() | ~c.isin(days) | (F.col(FILE_DAY) >= c)).drop(FILE_DAY)
+        if not tables.table_exists(spark, target):
+            tables.create_table(spark, target, rows, spec.date_column)
+            return {"source": spec.name, "days": days, "mode": "create"}
+        out = tables.write_partitions(spark, target, rows, replace=days, append_others=True)
+        return {"source": spec.name, "days": days, "mode": "one_job", **out,
+                "stray_dates": [d for d in out["appended"] if d not in set(days)]}
+    # Upsert source: one job unless a key occurs in two files (then the later
+    # file's row must update the earlier one, so the files go in date order).
+    conflicts = (df.filter(F.col(spec.key_column).isNotNull())
+                 .groupBy(spec.key_column)
+                 .agg(F.countDistinct(FILE_DAY).alias("_files"))
+                 .filter(F.col("_files") > 1))
     if not conflicts.isEmpty():
         results = [ingest(spark, lake, spec, d) for d in days]
         return {"source": spec.name, "days": days, "mode": "day_by_day", "runs": results}
     rows = df.drop(FILE_DAY)
-    target = lake.silver(spec)
     if not tables.table_exists(spark, target):
         tables.create_table(spark, target, rows, spec.date_column)
         return {"source": spec.name, "days": days, "mode": "create"}
-    if spec.append_only:
-        out = tables.write_partitions(spark, target, rows, replace=days, append_others=False)
-    else:
-        out = tables.upsert_table(spark, target, rows, spec.key_column)
+    out = tables.upsert_table(spark, target, rows, spec.key_column)
     return {"source": spec.name, "days": days, "mode": "one_job", **out}
 
 

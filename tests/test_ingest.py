@@ -25,6 +25,10 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def rows_of(data):
+    return sorted((tuple(r) for r in data), key=repr)
+
+
 def write_csv(lake, spec, day, text):
     path = daily_path(lake, spec, day)
     os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -126,6 +130,38 @@ def test_ingest_range_equals_day_by_day(spark):
     assert results[0] == results[1]
 
 
+def test_ingest_range_with_strays_is_one_job_equal_to_day_by_day(spark):
+    import tempfile
+    header = "data_venda,produto_id,filial_id,quantidade,valor_unitario\n"
+    files = {
+        # strays into a later day of the batch and into a day outside it
+        "2025-09-18": "2025-09-18,1,A,1,1.00\n2025-09-19,2,A,2,2.00\n2025-09-10,3,A,3,3.00\n",
+        # a stray into an earlier day of the batch, and a NULL date
+        "2025-09-19": "2025-09-19,4,A,4,4.00\n2025-09-18,5,A,5,5.00\n,6,A,6,6.00\n",
+        # only a stray: the file's own date is cleared
+        "2025-09-20": "2025-09-21,7,A,7,7.00\n",
+    }
+    results = []
+    for one_job in (True, False):
+        lake = Lake(tempfile.mkdtemp(prefix="lakeledger-strays-"))
+        write_csv(lake, VENDAS, "2025-09-17", header + "2025-09-20,9,A,9,9.00\n2025-09-17,8,A,8,8.00\n")
+        ingest_jobs.ingest(spark, lake, "vendas", "2025-09-17")
+        for d, body in files.items():
+            write_csv(lake, VENDAS, d, header + body)
+        if one_job:
+            out = ingest_jobs.ingest_range(spark, lake, "vendas", list(files))
+            assert out["mode"] == "one_job"
+        else:
+            for d in files:
+                ingest_jobs.ingest(spark, lake, "vendas", d)
+        results.append(rows(tables.scan_table(spark, lake.silver("vendas"))
+                            .select("data_venda", "produto_id")))
+    d = dt.date
+    assert results[0] == results[1] == rows_of([
+        (d(2025, 9, 10), 3), (d(2025, 9, 17), 8), (d(2025, 9, 18), 1), (d(2025, 9, 18), 5),
+        (d(2025, 9, 19), 4), (None, 6), (d(2025, 9, 21), 7)])
+
+
 def test_ingest_range_falls_back_when_a_key_is_in_two_files(spark, lake):
     header = "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id\n"
     write_csv(lake, DEV, "2025-09-19", header + "p1,1,1,a,2025-09-19,A\n")
