@@ -8,9 +8,10 @@ reported), and the returns source is upserted on its key.
 ``ingest_range`` loads many daily files with the result of loading them one
 by one in date order. For an append source that is always one pass: rows of
 another date in a file are kept or dropped by a row filter that states what
-the day-by-day replaces would leave. For the upsert source it is one job when
-no key occurs in two files (checked with one aggregate); otherwise the files
-are loaded one by one.
+the day-by-day replaces would leave. For the upsert source it is one job
+holding, per key, the row of the latest file (checked with one aggregate:
+no key may occur twice inside a file and again in another file); otherwise
+the files are loaded one by one.
 """
 
 from __future__ import annotations
@@ -71,16 +72,25 @@ def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
         out = tables.write_partitions(spark, target, rows, replace=days, append_others=True)
         return {"source": spec.name, "days": days, "mode": "one_job", **out,
                 "stray_dates": [d for d in out["appended"] if d not in set(days)]}
-    # Upsert source: one job unless a key occurs in two files (then the later
-    # file's row must update the earlier one, so the files go in date order).
-    conflicts = (df.filter(F.col(spec.key_column).isNotNull())
-                 .groupBy(spec.key_column)
-                 .agg(F.countDistinct(FILE_DAY).alias("_files"))
-                 .filter(F.col("_files") > 1))
-    if not conflicts.isEmpty():
+    # Upsert source. When no key occurs twice inside one file, loading the
+    # files in date order leaves, for each key, the row of the latest file
+    # holding it (an earlier file's row is inserted or updated, then updated
+    # again). So the batch is reduced to those rows and upserted once. The
+    # reduction is an aggregate per (key, file) and per key, joined back on
+    # one row per key: no window over a possibly hot key. NULL keys never
+    # match, so all their rows stay. A key repeated inside a file and present
+    # in another file is rare; then the files go in one by one.
+    key = spec.key_column
+    per_file = (df.filter(F.col(key).isNotNull())
+                .groupBy(key, FILE_DAY).agg(F.count(F.lit(1)).alias("_c")))
+    per_key = per_file.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_files"), F.max("_c").alias("_most"),
+        F.max(FILE_DAY).alias("_last"))
+    if not per_key.filter((F.col("_files") > 1) & (F.col("_most") > 1)).isEmpty():
         results = [ingest(spark, lake, spec, d) for d in days]
         return {"source": spec.name, "days": days, "mode": "day_by_day", "runs": results}
-    rows = df.drop(FILE_DAY)
+    latest = df.join(per_key.select(key, F.col("_last").alias(FILE_DAY)), [key, FILE_DAY], "left_semi")
+    rows = latest.unionByName(df.filter(F.col(key).isNull())).drop(FILE_DAY)
     if not tables.table_exists(spark, target):
         tables.create_table(spark, target, rows, spec.date_column)
         return {"source": spec.name, "days": days, "mode": "create"}

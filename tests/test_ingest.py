@@ -162,16 +162,68 @@ def test_ingest_range_with_strays_is_one_job_equal_to_day_by_day(spark):
         (d(2025, 9, 19), 4), (None, 6), (d(2025, 9, 21), 7)])
 
 
-def test_ingest_range_falls_back_when_a_key_is_in_two_files(spark, lake):
+def test_ingest_range_key_in_two_files_keeps_the_latest_row(spark, lake):
     header = "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id\n"
     write_csv(lake, DEV, "2025-09-19", header + "p1,1,1,a,2025-09-19,A\n")
     write_csv(lake, DEV, "2025-09-20", header + "p1,1,7,b,2025-09-20,A\n")
     out = ingest_jobs.ingest_range(spark, lake, "devolucao", ["2025-09-19", "2025-09-20"])
-    assert out["mode"] == "day_by_day"
+    assert out["mode"] == "create"
     got = rows(tables.scan_table(spark, lake.silver("devolucao")).select("pedido_id", "quantidade"))
     assert got == [("p1", 7)]
 
 
+DEV_HEADER = "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id\n"
+
+
+def _upsert_batch_both_ways(spark, first: str, files: dict):
+    """The same files loaded by ingest_range and one by one, on top of a
+    table created from ``first``; returns (mode, one-job rows, daily rows)."""
+    import tempfile
+    results, mode = [], None
+    for one_job in (True, False):
+        lake = Lake(tempfile.mkdtemp(prefix="lakeledger-upsert-range-"))
+        write_csv(lake, DEV, "2025-09-17", DEV_HEADER + first)
+        ingest_jobs.ingest(spark, lake, "devolucao", "2025-09-17")
+        for d, body in files.items():
+            write_csv(lake, DEV, d, DEV_HEADER + body)
+        if one_job:
+            mode = ingest_jobs.ingest_range(spark, lake, "devolucao", list(files))["mode"]
+        else:
+            for d in files:
+                ingest_jobs.ingest(spark, lake, "devolucao", d)
+        results.append(rows(tables.scan_table(spark, lake.silver("devolucao"))
+                            .select("pedido_id", "quantidade", "data_devolucao")))
+    return mode, results[0], results[1]
+
+
+def test_ingest_range_upsert_revisions_are_one_job_equal_to_day_by_day(spark):
+    first = "t1,1,1,a,2025-09-17,A\nt2,1,2,a,2025-09-17,A\nt2,1,3,a,2025-09-17,A\n"
+    files = {
+        # t1 revised twice; t2 (twice in the table) revised once; new key n1
+        # inserted twice in one file; a NULL key in two files
+        "2025-09-18": "t1,1,10,b,2025-09-18,A\nn1,1,5,b,2025-09-18,A\nn1,1,6,b,2025-09-18,A\n,1,0,b,2025-09-18,A\n",
+        "2025-09-19": "t1,1,11,c,2025-09-19,A\nt2,1,20,c,2025-09-19,A\nn2,1,7,c,2025-09-19,A\n,1,0,c,2025-09-19,A\n",
+    }
+    mode, once, daily = _upsert_batch_both_ways(spark, first, files)
+    assert mode == "one_job"
+    assert once == daily
+    d = dt.date
+    assert once == rows_of([
+        ("t1", 11, d(2025, 9, 19)), ("t2", 20, d(2025, 9, 19)), ("t2", 20, d(2025, 9, 19)),
+        ("n1", 5, d(2025, 9, 18)), ("n1", 6, d(2025, 9, 18)), ("n2", 7, d(2025, 9, 19)),
+        (None, 0, d(2025, 9, 18)), (None, 0, d(2025, 9, 19))])
+
+
+def test_ingest_range_key_repeated_in_a_file_and_in_another_goes_day_by_day(spark):
+    files = {
+        "2025-09-18": "n1,1,5,b,2025-09-18,A\nn1,1,6,b,2025-09-18,A\n",
+        "2025-09-19": "n1,1,9,c,2025-09-19,A\n",
+    }
+    mode, once, daily = _upsert_batch_both_ways(spark, "t1,1,1,a,2025-09-17,A\n", files)
+    assert mode == "day_by_day"
+    assert once == daily
+
+
 def test_pipeline_day_by_day_equals_backfill(spark):
     import tempfile
     days_lake = Lake(tempfile.mkdtemp(prefix="lakeledger-days-"))
