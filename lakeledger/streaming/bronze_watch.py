@@ -38,17 +38,20 @@ def _day_of(path: str, spec: SourceSpec):
 
 def watch_source(spark: SparkSession, lake: Lake, source: SourceSpec | str,
                  checkpoint: str | None = None, available_now: bool = True,
-                 interval: str = "1 hour") -> StreamingQuery:
+                 interval: str = "1 hour", max_files_per_batch: int = 1000) -> StreamingQuery:
     """Start a query that loads every new daily file of ``source``.
 
     ``available_now`` processes what has landed and stops (a scheduled batch
     run with exactly-once file tracking); otherwise the query keeps running and
-    checks the folder every ``interval``.
+    checks the folder every ``interval``. A catch-up after a long outage is
+    cut into batches of at most ``max_files_per_batch`` files, oldest first,
+    so no batch hands an unbounded list of files to the driver.
     """
     spec = SOURCES[source] if isinstance(source, str) else source
     checkpoint = checkpoint or f"{checkpoint_root(spark)}/lakeledger/streams/{spec.name}"
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", "*.csv")
+             .option("maxFilesPerTrigger", max_files_per_batch)
              .option("recursiveFileLookup", "true")
              .load(lake.bronze_dir(spec))
              .select("path"))
@@ -69,9 +72,10 @@ def watch_source(spark: SparkSession, lake: Lake, source: SourceSpec | str,
 
 
 def catch_up(spark: SparkSession, lake: Lake, source: SourceSpec | str,
-             checkpoint: str | None = None) -> None:
+             checkpoint: str | None = None, max_files_per_batch: int = 1000) -> None:
     """Load every daily file not loaded yet, then return."""
-    q = watch_source(spark, lake, source, checkpoint=checkpoint, available_now=True)
+    q = watch_source(spark, lake, source, checkpoint=checkpoint, available_now=True,
+                     max_files_per_batch=max_files_per_batch)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

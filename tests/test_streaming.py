@@ -28,3 +28,13 @@ def test_catch_up_loads_new_files_once(spark, lake):
     export_daily(spark, rows.filter(F.col(spec.date_column) >= cut), lake, spec)
     catch_up(spark, lake, spec, checkpoint=ckpt)
     assert tables.scan_table(spark, lake.silver(spec)).count() == rows.count()
+
+
+def test_catch_up_in_small_batches_gives_the_same_table(spark, lake):
+    spec = SOURCES["devolucao"]
+    rows = TD.devolucao(spark, SF_SMALL).filter(F.col(spec.date_column) >= F.lit(dt.date(1997, 1, 1)))
+    days = export_daily(spark, rows, lake, spec)
+    assert len(days) > 6
+    catch_up(spark, lake, spec, checkpoint=f"{lake.root}/_streams/devolucao", max_files_per_batch=3)
+    got = sorted(tuple(r) for r in tables.scan_table(spark, lake.silver(spec)).collect())
+    assert got == sorted(tuple(r) for r in rows.collect())
