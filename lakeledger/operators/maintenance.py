@@ -75,10 +75,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     Plan: the source rows carry their per-key count (``source_key_counts``,
     one row per key), the target is left-joined with them once, and the
     source rows without a target match are found by an anti-join against the
-    target's distinct keys. The source rows are shuffled once on the key (the
-    exchange is reused by the anti-join); a hot key on the target side is
-    split by AQE's skew handling in the left join and pre-aggregated in the
-    key list.
+    target's distinct keys. The target rows are shuffled once; the source
+    rows twice (the join drops NULL keys, the anti-join must keep them). A
+    hot key on the target side is split by AQE's skew handling in the left
+    join and pre-aggregated in the key list.
     """
     src = conform(source, target)
     cols = target.columns
