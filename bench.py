@@ -1,7 +1,9 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default
-8), BENCH_RUNS (default 3; the median is reported per query).
+8), BENCH_RUNS (default 3; the median is reported per query), BENCH_EVENT_LOG
+(optional folder: Spark's event log is written there, for stage and task
+times without any web UI).
 
 Each query is run to completion with the ``noop`` sink, so every row is
 computed but nothing is collected to the driver.
@@ -42,7 +44,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, app_name="lakeledger-bench")
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    extra = ({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log,
+              "spark.eventLog.compress": "false"} if event_log else None)
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, app_name="lakeledger-bench",
+                      extra_conf=extra)
     # Warm the JVM (class loading, codegen caches) on the smallest query.
     run_once(spark, "gold_taxes", sf_dir)
     per_query = {}
