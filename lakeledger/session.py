@@ -44,12 +44,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    Where it is unset (a local test run) a private folder is created and set.
+    On a cluster this setting points at shared storage and is only read here;
+    a cluster session without it is an error. Only a local session (tests,
+    benchmarks) gets a private folder created and set.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3A, ABFS, ...): "
+                               "scratch tables and stream checkpoints are kept there")
         current = tempfile.mkdtemp(prefix="lakeledger-ckpt-")
         sc.setCheckpointDir(current)
     return str(current).rstrip("/")
