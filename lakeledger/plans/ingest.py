@@ -41,13 +41,15 @@ def ingest(spark: SparkSession, lake: Lake, source: SourceSpec | str, day: DateL
         tables.create_table(spark, target, df, spec.date_column)
         return {"source": spec.name, "day": day, "mode": "create"}
     if spec.append_only:
-        out = tables.write_partitions(spark, target, df, replace=[day], append_others=True)
+        out = tables.write_partitions(spark, target, df, replace=[day], append_others=True,
+                                      count_appended=True)
         mode = "replace"
     else:
         out = tables.upsert_table(spark, target, df, spec.key_column)
         mode = "upsert"
-    return {"source": spec.name, "day": day, "mode": mode, **out,
-            "stray_dates": [d for d in out.get("appended", []) if d != day]}
+    strays = [d for d in out.get("appended", []) if d != day]
+    return {"source": spec.name, "day": day, "mode": mode, **out, "stray_dates": strays,
+            "stray_rows": sum(out.get("appended_rows", {}).get(d, 0) for d in strays)}
 
 
 def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
@@ -69,9 +71,11 @@ def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
         if not tables.table_exists(spark, target):
             tables.create_table(spark, target, rows, spec.date_column)
             return {"source": spec.name, "days": days, "mode": "create"}
-        out = tables.write_partitions(spark, target, rows, replace=days, append_others=True)
-        return {"source": spec.name, "days": days, "mode": "one_job", **out,
-                "stray_dates": [d for d in out["appended"] if d not in set(days)]}
+        out = tables.write_partitions(spark, target, rows, replace=days, append_others=True,
+                                      count_appended=True)
+        strays = [d for d in out["appended"] if d not in set(days)]
+        return {"source": spec.name, "days": days, "mode": "one_job", **out, "stray_dates": strays,
+                "stray_rows": sum(out["appended_rows"].get(d, 0) for d in strays)}
     # Upsert source. When no key occurs twice inside one file, loading the
     # files in date order leaves, for each key, the row of the latest file
     # holding it (an earlier file's row is inserted or updated, then updated

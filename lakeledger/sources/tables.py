@@ -266,13 +266,17 @@ def create_table(spark: SparkSession, path: str, df: DataFrame, col: str,
 
 def write_partitions(spark: SparkSession, path: str, df: DataFrame,
                      replace: Iterable[dt.date | None] = (), append_others: bool = True,
-                     rebalance: bool = True, sort_by: list[str] | None = None) -> dict:
+                     rebalance: bool = True, sort_by: list[str] | None = None,
+                     count_appended: bool = False) -> dict:
     """Write ``df`` into the table in one Spark job.
 
     Each date in ``replace`` ends up holding exactly the frame's rows of that
     date (none, if the frame has none: the date is cleared). Rows of any other
     date are appended to their partition when ``append_others`` is set and
-    rejected otherwise. Returns the dates replaced and the dates appended to.
+    rejected otherwise. Returns the dates replaced and the dates appended to;
+    with ``count_appended``, also the number of rows appended per date
+    (``appended_rows``), counted from the staged files before the commit --
+    a second small job, run only when some date was appended to.
     """
     recover(spark, path)
     schema, col = read_schema(spark, path)
@@ -293,6 +297,14 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
         if ok:
             staged[value] = name
     appended = [d for d in staged if d not in replace]
+    appended_rows = None
+    if count_appended:
+        appended_rows = {}
+        if appended:
+            dirs = [f"{stage}/{staged[d]}" for d in appended]
+            counted = (spark.read.schema(new_schema).option("basePath", stage).parquet(*dirs)
+                       .groupBy(col).count().collect())
+            appended_rows = {r[0]: r[1] for r in counted}
     if new_schema != schema:
         _write_schema(spark, path, new_schema, col)
     commit = {
@@ -302,7 +314,10 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
     }
     fs.write_text(f"{stage}/{COMMIT}", json.dumps(commit))
     _finish(fs, path, stage_id)
-    return {"replaced": sorted(replace, key=_sort_key), "appended": sorted(appended, key=_sort_key)}
+    out = {"replaced": sorted(replace, key=_sort_key), "appended": sorted(appended, key=_sort_key)}
+    if appended_rows is not None:
+        out["appended_rows"] = appended_rows
+    return out
 
 
 def _sort_key(d):

@@ -99,6 +99,21 @@ def test_ingest_first_load_replace_and_stray(spark, lake):
     assert got == [(1,), (2,), (9,), (9,)]
 
 
+def test_stray_rows_are_counted(spark, lake):
+    header = "data_venda,produto_id,filial_id,quantidade,valor_unitario\n"
+    write_csv(lake, VENDAS, "2025-09-19", header + "2025-09-19,1,A,1,1.00\n")
+    ingest_jobs.ingest(spark, lake, "vendas", "2025-09-19")
+    write_csv(lake, VENDAS, "2025-09-20", header + "2025-09-20,2,A,2,2.00\n"
+              "2025-09-19,8,A,8,8.00\n2025-09-19,9,A,9,9.00\n,7,A,7,7.00\n")
+    out = ingest_jobs.ingest(spark, lake, "vendas", "2025-09-20")
+    assert out["stray_rows"] == 3
+    assert out["appended_rows"] == {dt.date(2025, 9, 19): 2, None: 1}
+    write_csv(lake, VENDAS, "2025-09-21", header + "2025-09-21,3,A,3,3.00\n2025-09-01,4,A,4,4.00\n")
+    write_csv(lake, VENDAS, "2025-09-22", header + "2025-09-22,5,A,5,5.00\n")
+    out = ingest_jobs.ingest_range(spark, lake, "vendas", ["2025-09-21", "2025-09-22"])
+    assert (out["mode"], out["stray_dates"], out["stray_rows"]) == ("one_job", [dt.date(2025, 9, 1)], 1)
+
+
 def test_ingest_upsert_source(spark, lake):
     header = "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id\n"
     write_csv(lake, DEV, "2025-09-19", header + "p1,1,1,a,2025-09-19,A\np2,2,2,b,2025-09-19,A\n")
