@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeledger.functions.dates import as_date
+from lakeledger.operators.maintenance import conform, source_key_counts, upsert
+from lakeledger.session import scratch_dir
 
 SCHEMA_FILE = "_schema.json"
 STAGING = "_staging"
@@ -403,16 +405,28 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str) ->
     job if a matched key occurs twice in the source. Pass 2 rewrites those
     dates plus the source's own dates with the frame upsert: each matched row
     takes the source values, the other source rows are inserted. A row whose
-    date changed moves partition. Extra source
-    columns are dropped (no schema evolution on upsert), as in a MERGE.
-    """
-    from lakeledger.operators.maintenance import conform, source_key_counts, upsert
+    date changed moves partition. Extra source columns are dropped (no schema
+    evolution on upsert), as in a MERGE.
 
+    Both passes read the source several times, so it is first written once as
+    Parquet under the shared checkpoint folder (one parse of the day's CSV,
+    lineage cut there) and deleted when the upsert is done.
+    """
     recover(spark, path)
     target = scan_table(spark, path)
     _, col = read_schema(spark, path)
-    src = conform(source, target)
+    conformed = conform(source, target)
+    work = scratch_dir(spark, "upsert-source")
+    conformed.write.mode("overwrite").parquet(work)
+    try:
+        src = spark.read.schema(conformed.schema).parquet(work)
+        return _upsert_passes(spark, path, target, src, key, col)
+    finally:
+        _FS(spark, work).delete(work)
+
 
+def _upsert_passes(spark: SparkSession, path: str, target: DataFrame, src: DataFrame,
+                   key: str, col: str) -> dict:
     counts = source_key_counts(src, key)
     hits = target.select(key, col).join(counts, key, "inner")
     # The check names a column of each side, so the optimizer cannot evaluate
