@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.functions.dates import DateLike, as_date, sorted_dates
 from lakeledger.schemas import SOURCES, Lake, SourceSpec
+from lakeledger.session import scratch_dir
 from lakeledger.sources import tables
 from lakeledger.sources.bronze import FILE_DAY, daily_path, scan_csv
 
@@ -84,6 +85,17 @@ def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
     # one row per key: no window over a possibly hot key. NULL keys never
     # match, so all their rows stay. A key repeated inside a file and present
     # in another file is rare; then the files go in one by one.
+    parsed = scratch_dir(spark, f"ingest-{spec.name}")
+    df.write.mode("overwrite").parquet(parsed)  # the batch's CSV is parsed once
+    try:
+        return _upsert_range(spark, lake, spec, days,
+                             spark.read.schema(df.schema).parquet(parsed), target)
+    finally:
+        tables._FS(spark, parsed).delete(parsed)
+
+
+def _upsert_range(spark: SparkSession, lake: Lake, spec: SourceSpec, days: list,
+                  df, target: str) -> dict:
     key = spec.key_column
     per_file = (df.filter(F.col(key).isNotNull())
                 .groupBy(key, FILE_DAY).agg(F.count(F.lit(1)).alias("_c")))
