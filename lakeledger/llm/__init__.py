@@ -1,5 +1,12 @@
 """Training-data operators: deduplication, language, personal data, quality,
 toxicity, tokens, web archives and decontamination.
 
-Nothing else in the library imports this subpackage.
+Nothing else in the library imports this subpackage. Its functions travel to the
+executors by value, so the package need not be installed there.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.session import scratch_dir
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 #: Sorts after every real id: rows without an id are "later" than all others.
 NO_ID = (1 << 63) - 1
 #: Bits of the id filter: 8 Mi bits, 1 MiB, whatever the size of the input.

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeledger.llm import decontaminate as D
+from lakeledger.llm import substring as SUB
+from lakeledger.llm import suffix as SUF
 from lakeledger.llm.common import documents
 
 QUERIES = {}
@@ -29,3 +31,13 @@ def op9_frame(docs, items):
 @_register("op9_decontaminate")
 def op9(spark, sf):
     return op9_frame(documents(spark, sf), documents(spark, sf, "benchmark"))
+
+
+@_register("op10_substring_dedup")
+def op10(spark, sf):
+    return SUB.dedup_substrings(documents(spark, sf)).drop("kept")
+
+
+@_register("op1_suffix_dedup")
+def op1(spark, sf):
+    return SUF.dedup_bytes(documents(spark, sf)).drop("kept")
