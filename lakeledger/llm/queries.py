@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeledger.llm import bpe as BPE
 from lakeledger.llm import decontaminate as D
 from lakeledger.llm import substring as SUB
 from lakeledger.llm import suffix as SUF
+from lakeledger.llm import warc as WARC
 from lakeledger.llm.common import documents
+from lakeledger.session import scratch_dir
 
 QUERIES = {}
 ORACLE = {}
@@ -41,3 +44,30 @@ def op10(spark, sf):
 @_register("op1_suffix_dedup")
 def op1(spark, sf):
     return SUF.dedup_bytes(documents(spark, sf)).drop("kept")
+
+
+#: Vocabulary of op7 (tokenizers file); a parameter of the operator.
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_register("op7_bpe")
+def op7(spark, sf):
+    return BPE.tokenize(documents(spark, sf), tokenizer_path())
+
+
+@_register("op8_warc", """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to
+FROM (SELECT *, strlen(coalesce(html, '')) >= 1000 AND page_id <> last AS again
+      FROM (SELECT page_id, html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages) p) q""")
+def op8(spark, sf):
+    path = scratch_dir(spark, "warc")
+    WARC.write_archive(documents(spark, sf, "pages"), path)
+    facts = F.col("metadata.fields")
+    return WARC.captures(spark, path, payload=False).select(
+        facts["page-id"].cast("long").alias("page_id"), facts["payload-length"].cast("long").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
+        facts["refers-to-page"].cast("long").alias("refers_to"))
