@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.llm import bpe as BPE
 from lakeledger.llm import decontaminate as D
+from lakeledger.llm import quality as QUALITY
 from lakeledger.llm import substring as SUB
 from lakeledger.llm import suffix as SUF
 from lakeledger.llm import warc as WARC
@@ -71,3 +72,8 @@ def op8(spark, sf):
         facts["page-id"].cast("long").alias("page_id"), facts["payload-length"].cast("long").alias("payload_bytes"),
         F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
         facts["refers-to-page"].cast("long").alias("refers_to"))
+
+
+@_register("op5_quality", QUALITY.oracle_sql())
+def op5(spark, sf):
+    return QUALITY.judge(documents(spark, sf)).drop("cleaned")
