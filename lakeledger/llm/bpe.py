@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeledger.llm.common import share
+
 LARGEST_VOCABULARY = 32 << 20
 #: Words held by a worker; the table starts anew when it is full.
 WORD_TABLE = 300_000
@@ -208,10 +210,10 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
              with_ids: bool = False, with_text: bool = False) -> DataFrame:
     """One row per input row: the id, the columns in ``keep``, n_tokens, ids_sha256, decoded_sha256, and on request
     ids (array) and decoded (text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    shared = share(docs.sparkSession, load(path))
 
     def run(batches):
-        vocabulary = shared.value.prepare()
+        vocabulary = shared().prepare()
         for batch in batches:
             cols = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
             for text in batch.column(batch.num_columns - 1):
@@ -241,11 +243,11 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``rows`` with a column ``decoded``: the text of their ids (null: empty)."""
-    shared = rows.sparkSession.sparkContext.broadcast(load(path))
+    shared = share(rows.sparkSession, load(path))
 
     @F.pandas_udf("string")
     def text_of(ids):
-        vocabulary = shared.value.prepare()
+        vocabulary = shared().prepare()
         return ids.map(lambda x: "" if x is None else vocabulary.decode(x))
 
     return rows.withColumn("decoded", text_of(ids_col))

@@ -178,3 +178,20 @@ def merge_runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     s, e = starts[order], np.maximum.accumulate(ends[order])
     first = np.concatenate([[True], s[1:] > e[:-1]])
     return s[first], e[np.concatenate([np.flatnonzero(first)[1:] - 1, [len(s) - 1]])]
+
+
+def share(spark: SparkSession, value):
+    """Broadcast an object of bounded size. Returns a function that gives it on the executors, where it is
+    made once for each worker process."""
+    import pickle
+
+    from pyspark import cloudpickle
+
+    held = spark.sparkContext.broadcast({"bytes": cloudpickle.dumps(value)})
+
+    def get():
+        box = held.value
+        if "object" not in box:
+            box["object"] = pickle.loads(box["bytes"])
+        return box["object"]
+    return get

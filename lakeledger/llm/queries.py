@@ -9,6 +9,7 @@ from lakeledger.llm import decontaminate as D
 from lakeledger.llm import quality as QUALITY
 from lakeledger.llm import substring as SUB
 from lakeledger.llm import suffix as SUF
+from lakeledger.llm import toxicity as TOX
 from lakeledger.llm import warc as WARC
 from lakeledger.llm.common import documents
 from lakeledger.session import scratch_dir
@@ -77,3 +78,20 @@ def op8(spark, sf):
 @_register("op5_quality", QUALITY.oracle_sql())
 def op5(spark, sf):
     return QUALITY.judge(documents(spark, sf)).drop("cleaned")
+
+
+def crc_of(doc_id, modulus: int):
+    """crc32 of the id as text, modulo ``modulus``."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % modulus
+
+
+def op6_model(docs, labels):
+    return TOX.train(TOX.training_rows(docs, labels, "doc_id", "text", "toxic", where=lambda i: crc_of(i, 3) != 1))
+
+
+@_register("op6_toxicity")
+def op6(spark, sf):
+    docs = documents(spark, sf)
+    held_out = F.coalesce(crc_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
+    scored = TOX.score(docs.select("doc_id", held_out, "text"), op6_model(docs, documents(spark, sf, "labels")))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOX.THRESHOLD).cast("int").alias("predicted"))

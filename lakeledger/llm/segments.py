@@ -119,7 +119,8 @@ def representatives(shared: DataFrame, hot: int) -> DataFrame:
     groups = shared.groupBy("key", "seg").agg(F.min(F.struct("doc", "th", "start", "n")).alias("rep"),
                                               F.count("*").alias("copies"), F.max("many").alias("many"))
     groups = materialise(groups, "segment-groups")
-    wide = groups.groupBy("key").agg(F.count("*").alias("segments")).filter(F.col("segments") > hot).select("key", F.lit(True).alias("hot"))
+    wide = materialise(groups.groupBy("key").agg(F.count("*").alias("segments")).filter(F.col("segments") > hot)
+                       .select("key", F.lit(True).alias("hot")), "hot-keys")
     return materialise(groups.join(wide, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "representatives")
 
 
