@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.llm import bpe as BPE
 from lakeledger.llm import decontaminate as D
+from lakeledger.llm import langid as LANG
 from lakeledger.llm import quality as QUALITY
 from lakeledger.llm import substring as SUB
 from lakeledger.llm import suffix as SUF
@@ -95,3 +96,11 @@ def op6(spark, sf):
     held_out = F.coalesce(crc_of(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
     scored = TOX.score(docs.select("doc_id", held_out, "text"), op6_model(docs, documents(spark, sf, "labels")))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOX.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_register("op2_langid")
+def op2(spark, sf):
+    docs = documents(spark, sf)
+    held_out = F.coalesce(crc_of(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = LANG.train(docs, where=~held_out)
+    return LANG.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
