@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeledger.llm import bpe as BPE
 from lakeledger.llm import decontaminate as D
 from lakeledger.llm import langid as LANG
+from lakeledger.llm import pii as PII
 from lakeledger.llm import quality as QUALITY
 from lakeledger.llm import substring as SUB
 from lakeledger.llm import suffix as SUF
@@ -104,3 +105,10 @@ def op2(spark, sf):
     held_out = F.coalesce(crc_of(F.col("doc_id"), 4) == 2, F.lit(False))
     model = LANG.train(docs, where=~held_out)
     return LANG.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@_register("op4_pii")
+def op4(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    out = PII.find(docs, PII.train(PII.labelled_words(docs)))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
