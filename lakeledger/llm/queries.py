@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.llm import bpe as BPE
 from lakeledger.llm import decontaminate as D
+from lakeledger.llm import jaccard as JAC
 from lakeledger.llm import langid as LANG
 from lakeledger.llm import pii as PII
 from lakeledger.llm import quality as QUALITY
@@ -112,3 +113,8 @@ def op4(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     out = PII.find(docs, PII.train(PII.labelled_words(docs)))
     return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@_register("op3_jaccard")
+def op3(spark, sf):
+    return JAC.similar_sets(documents(spark, sf))
