@@ -223,7 +223,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 cols["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
                 cols["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
                 if with_ids:
-                    cols["ids"].append([int(i) for i in ids.split()])
+                    cols["ids"].append(np.array(ids.split(), np.int32))
                 if with_text:
                     cols["decoded"].append(decoded)
             arrays = [pa.array(cols["n_tokens"], pa.int64()), pa.array(cols["ids_sha256"], pa.string()), pa.array(cols["decoded_sha256"], pa.string())]

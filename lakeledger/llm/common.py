@@ -195,3 +195,12 @@ def share(spark: SparkSession, value):
             box["object"] = pickle.loads(box["bytes"])
         return box["object"]
     return get
+
+
+def without(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
+    """Rows whose id is not among ``ids`` (a column of the same name); rows that a bounded bitmap
+    rules out do not move. Rows without an id stay."""
+    gone = materialise(ids.select(F.col(col).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "gone")
+    bitmap = materialise(id_filter(gone, "_gone"), "gone-bitmap")
+    maybe = filter_by(df, bitmap, col).join(gone, F.col(col) == F.col("_gone"), "left_anti")
+    return filter_by(df, bitmap, col, how="left_anti").unionByName(maybe)

@@ -333,3 +333,24 @@ def find(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFr
     rows = docs.select(*[c for c in docs.columns if c not in made], F.col(text_col).alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, schema + ", n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
+
+
+def redact(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with every found span replaced by its kind in brackets (overlapping spans by the kind that begins first);
+    null texts stay null."""
+    @F.pandas_udf("string")
+    def replaced(texts, spans):
+        def one(text, listed):
+            if text is None or not listed:
+                return text
+            found = sorted((int(a), int(b), kind) for kind, a, b in (s.split(":") for s in listed.split(",")))
+            out, at = [], 0
+            for a, b, kind in found:
+                if a >= at:
+                    out += [text[at:a], f"[{kind.upper()}]"]
+                at = max(at, b)
+            return "".join([*out, text[at:]])
+        return texts.combine(spans, one)
+
+    found = find(docs.select("*", F.col(text_col).alias("_original")), field, "_original")
+    return found.withColumn(text_col, replaced(F.col(text_col), F.col("spans"))).select(docs.columns)
