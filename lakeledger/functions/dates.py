@@ -30,11 +30,5 @@ def date_lit(value: DateLike) -> Column:
     return F.lit(as_date(value))
 
 
-def date_range(lo: DateLike, hi: DateLike) -> list[dt.date]:
-    """Every calendar day from lo to hi, both included."""
-    lo_d, hi_d = as_date(lo), as_date(hi)
-    return [lo_d + dt.timedelta(days=i) for i in range((hi_d - lo_d).days + 1)]
-
-
 def sorted_dates(values: Iterable[DateLike]) -> list[dt.date]:
     return sorted({as_date(v) for v in values})

@@ -13,12 +13,12 @@ from pyspark.sql import types as T
 
 from lakeledger.schemas import MONEY
 
-# Room for a sum over any number of 2-decimal amounts.
+# Room for a sum over any number of amounts.
 WIDE_MONEY = T.DecimalType(38, 4)
 
 
 def as_money(col: str | Column) -> Column:
-    """A money column as DECIMAL(18,2) (no-op when it already is)."""
+    """A money column as DECIMAL(20,4) (no-op when it already is)."""
     c = F.col(col) if isinstance(col, str) else col
     return c.cast(MONEY)
 
@@ -49,14 +49,14 @@ def exact_double_sum(col: str | Column, zero_if_empty: bool = False) -> Column:
 def half_up_ratio(amount_col: str, units_col: str) -> Column:
     """round(amount / units, 2), ties away from zero, as DOUBLE; NULL if units = 0.
 
-    ``amount_col`` is an exact decimal total, ``units_col`` an integer total.
-    The quotient is rounded in 64-bit integer cents, so no intermediate
-    rounding can move a tie: cents = (2*|a*100| + |u|) div (2*|u|).
+    ``amount_col`` is an exact decimal total with at most four decimals, ``units_col`` an integer total.
+    The quotient is rounded in whole numbers (A = amount in ten-thousandths), so no intermediate
+    rounding can move a tie: cents = (2*|A| + 100*|u|) div (200*|u|).
     """
-    a = f"CAST({amount_col} * 100 AS BIGINT)"
-    u = f"CAST({units_col} AS BIGINT)"
+    a = f"CAST({amount_col} * 10000 AS DECIMAL(34, 0))"
+    u = f"CAST({units_col} AS DECIMAL(19, 0))"
     return F.expr(
         f"CASE WHEN {u} = 0 THEN NULL ELSE "
         f"CAST((CASE WHEN ({a} < 0) <> ({u} < 0) THEN -1 ELSE 1 END) * "
-        f"((2 * abs({a}) + abs({u})) div (2 * abs({u}))) AS DOUBLE) / 100 END"
+        f"((2 * abs({a}) + 100 * abs({u})) div (200 * abs({u}))) AS DOUBLE) / 100 END"
     )

@@ -62,6 +62,41 @@ def source_key_counts(source: DataFrame, key: str) -> DataFrame:
     return source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
 
 
+SPREAD = "_spread"
+
+
+def co_partitioned(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with a second join column derived from the key. A side that an aggregate
+    left partitioned on the key alone is then shuffled for the join like a plain one, and
+    adaptive execution can split a hot key only where both sides are plain shuffles."""
+    return df.withColumn(SPREAD, F.pmod(F.xxhash64(key), F.lit(1 << 20)))
+
+
+def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ``keys`` (one row per key); NULL keys match nothing and stay."""
+    left = co_partitioned(rows.filter(F.col(key).isNotNull()), key).join(co_partitioned(keys, key), [key, SPREAD], "left_anti")
+    return left.select(*rows.columns).unionByName(rows.filter(F.col(key).isNull()))
+
+
+def update_matched(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
+    """Target rows, those whose key is in ``src`` with the source's values in all columns. A
+    matched key that occurs twice in the source is an error, raised inside the task that meets it."""
+    others = [c for c in target.columns if c != key]
+    # One row per source key: partial aggregates, so a hot source key leaves each task as one row.
+    new = src.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *others)).alias("_new"))
+    joined = co_partitioned(target.filter(F.col(key).isNotNull()), key).join(co_partitioned(new, key), [key, SPREAD], "left")
+    # The check reads the count (source side) and the key (target side), so
+    # it can be neither pushed below the join nor evaluated on unmatched keys.
+    fail = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"))))
+    current = joined.filter(fail.isNull()).select(*[
+        F.col(c) if c == key else F.when(F.col("_n").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+        for c in target.columns
+    ])
+    return current.unionByName(target.filter(F.col(key).isNull()))
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Update every column where the key matches, insert the rest (a MERGE
     with "update all when matched, insert all when not matched").
@@ -69,33 +104,14 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     Every target row whose key occurs in the source takes that source row's
     values (two target rows with one key give two updated rows); source rows
     whose key matches no target row are inserted. NULL keys never match, so
-    such rows are inserted and old ones kept. A matched key occurring twice in
-    the source is an error, raised inside the task that meets it.
+    such rows are inserted and old ones kept; they take no part in the joins. A matched key
+    occurring twice in the source is an error.
 
-    Plan: the source rows carry their per-key count (``source_key_counts``,
-    one row per key), the target is left-joined with them once, and the
+    Plan: the target is left-joined once with one row per source key, and the
     source rows without a target match are found by an anti-join against the
-    target's distinct keys. The target rows are shuffled once; the source
-    rows twice (the join drops NULL keys, the anti-join must keep them). A
-    hot key on the target side is split by AQE's skew handling in the left
-    join and pre-aggregated in the key list.
+    target's distinct keys. Both joins have plain shuffles on both sides
+    (``co_partitioned``), so a hot key on either is split by AQE.
     """
     src = conform(source, target)
-    cols = target.columns
-    others = [c for c in cols if c != key]
-    n = F.col("_n")
-    new = src.join(source_key_counts(src, key), key, "inner").select(
-        key, "_n", *[F.col(c).alias(f"_new_{c}") for c in others])
-    joined = target.join(new, key, "left")
-    # The check reads the count (source side) and the key (target side), so
-    # it can be neither pushed below the join nor evaluated on unmatched keys.
-    fail = F.when(n > 1, F.raise_error(F.concat(
-        F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"))))
-    current = joined.filter(fail.isNull()).select(*[
-        F.col(c) if c == key else F.when(n.isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-        for c in cols
-    ])
-    # Keys present in the target: a key-only scan, aggregated map-side, so a
-    # hot target key leaves each task as one row.
-    inserted = src.join(target.select(key).distinct(), key, "left_anti")
-    return current.unionByName(inserted)
+    keys = target.select(key).filter(F.col(key).isNotNull()).distinct()
+    return update_matched(target, src, key).unionByName(without_keys(src, keys, key))

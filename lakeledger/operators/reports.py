@@ -106,12 +106,12 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def collect_series(series: DataFrame, max_rows: int = 100_000):
+def collect_series(series: DataFrame, max_rows: int):
     """An aggregated report as a pandas frame, for a chart or a table.
 
     Only the aggregated series (at most dates x chosen branches rows) is meant
-    to reach the driver: at most ``max_rows + 1`` rows are transferred, and a
-    larger result is refused instead of being collected.
+    to reach the driver. The caller states how many rows it takes (``max_rows``); one more is transferred at
+    most, and a larger result is refused instead of being cut. Larger reports stay DataFrames.
     """
     out = series.limit(max_rows + 1).toPandas()
     if len(out) > max_rows:

@@ -27,7 +27,7 @@ SILVER = {
     "vendas": f"""
 SELECT {_MONTH} AS data_venda, {_PRODUCT} AS produto_id, n_name AS filial_id,
        CAST(l_quantity AS INT) AS quantidade,
-       CAST(l_extendedprice AS DECIMAL(18,2)) AS valor_unitario
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) AS valor_unitario
 FROM {_BRANCH}""",
     "estoque": f"""
 SELECT {_PRODUCT} AS produto_id, n_name AS filial_id,
@@ -44,7 +44,7 @@ WHERE l_returnflag = 'R'""",
     "frete": f"""
 SELECT {_ORDER_LINE} AS pedido_id,
        CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
-            AS DECIMAL(18,2)) AS valor_frete,
+            AS DECIMAL(20,4)) AS valor_frete,
        {_MONTH} AS data_envio,
        CASE l_linenumber % 4 WHEN 0 THEN 'Correios' WHEN 1 THEN 'JadLog' WHEN 2 THEN 'Loggi'
             ELSE 'Mandae' END AS transportadora,
@@ -56,17 +56,18 @@ SELECT {_MONTH} AS data_pagamento,
             WHEN 3 THEN 'COFINS' WHEN 4 THEN 'IRPJ' WHEN 5 THEN 'CSLL' WHEN 6 THEN 'INSS'
             ELSE 'IPI' END AS tipo_imposto,
        CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                  * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS valor_pago,
+                  * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(20,4)) AS valor_pago,
        n_name AS filial_id
 FROM {_BRANCH}""",
 }
 
 
-def ticket_sql(cents: str, units: str) -> str:
-    """round(cents/100 / units, 2) half-up, exact, NULL for zero units."""
+def ticket_sql(amount: str, units: str, scale: int = 100) -> str:
+    """round(amount/scale / units, 2) half-up, exact, NULL for zero units; ``amount`` is a whole number of 1/scale."""
+    per = scale // 100
     return (f"CASE WHEN {units} = 0 THEN NULL ELSE "
-            f"CAST((CASE WHEN ({cents} < 0) <> ({units} < 0) THEN -1 ELSE 1 END) * "
-            f"((2 * abs({cents}) + abs({units})) // (2 * abs({units}))) AS DOUBLE) / 100 END")
+            f"CAST((CASE WHEN ({amount} < 0) <> ({units} < 0) THEN -1 ELSE 1 END) * "
+            f"((2 * abs({amount}) + {per} * abs({units})) // ({2 * per} * abs({units}))) AS DOUBLE) / 100 END")
 
 
 AGG_RETURNS = """
@@ -80,11 +81,11 @@ SELECT data_referencia AS CodigoData, produto_id AS ProdutoId, filial_id AS Fili
 FROM estoque GROUP BY 1, 2, 3"""
 
 
-def agg_sales_sql(source: str = "vendas") -> str:
+def agg_sales_sql(source: str = "vendas", scale: int = 100) -> str:
     return f"""
 SELECT CodigoData, ProdutoId, FilialId, TotalQuantidadeVendida,
        CAST(round(v, 2) AS DOUBLE) AS TotalValorVendido,
-       {ticket_sql('CAST(v * 100 AS BIGINT)', 'TotalQuantidadeVendida')} AS TicketMedio
+       {ticket_sql(f'CAST(v * {scale} AS BIGINT)', 'TotalQuantidadeVendida', scale)} AS TicketMedio
 FROM (SELECT data_venda AS CodigoData, produto_id AS ProdutoId, filial_id AS FilialId,
              CAST(sum(quantidade) AS BIGINT) AS TotalQuantidadeVendida,
              sum(valor_unitario) AS v

@@ -64,7 +64,7 @@ def refresh(spark: SparkSession, lake: Lake, name: GoldSpec | str, day: DateLike
     """Bring one processing date of a gold table up to date (S-12)."""
     spec, day = _spec(name), as_date(day)
     path = lake.gold(spec)
-    if not tables.table_exists(spark, path):
+    if not tables.open_for_write(spark, path):
         return build(spark, lake, spec)
     df = gold_frame(spark, spec, silver_inputs(spark, lake, spec, day, day))
     out = tables.replace_dates(spark, path, df, [day], **_write_layout(spec))
@@ -73,13 +73,13 @@ def refresh(spark: SparkSession, lake: Lake, name: GoldSpec | str, day: DateLike
 
 def backfill(spark: SparkSession, lake: Lake, name: GoldSpec | str,
              lo: DateLike, hi: DateLike) -> dict:
-    """Recompute every date in [lo, hi] in one job (K-04)."""
+    """Recompute every date in [lo, hi] in one job (K-04). A table that does not exist yet is
+    built from the whole silver history, as the first daily refresh would do."""
     spec, lo, hi = _spec(name), as_date(lo), as_date(hi)
     path = lake.gold(spec)
+    if not tables.open_for_write(spark, path):
+        return build(spark, lake, spec)
     df = gold_frame(spark, spec, silver_inputs(spark, lake, spec, lo, hi))
-    if not tables.table_exists(spark, path):
-        tables.create_table(spark, path, df, spec.date_column, **_write_layout(spec))
-        return {"gold": spec.name, "mode": "create"}
     existing = [d for d in tables.list_partitions(spark, path, spec.date_column)
                 if d is not None and lo <= d <= hi]
     out = tables.write_partitions(spark, path, df, replace=existing, append_others=True,
@@ -87,10 +87,6 @@ def backfill(spark: SparkSession, lake: Lake, name: GoldSpec | str,
     return {"gold": spec.name, "mode": "backfill", **out}
 
 
-# Which gold tables wait for which silver sources (the dependency table).
-DEPENDS = {g.name: g.inputs for g in GOLDS.values()}
-
-
 def refresh_all(spark: SparkSession, lake: Lake, day: DateLike, parallel: bool = True) -> list:
     """Refresh the three gold tables for one date; they are independent."""
     names = list(GOLDS)

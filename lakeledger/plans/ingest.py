@@ -9,9 +9,8 @@ reported), and the returns source is upserted on its key.
 by one in date order. For an append source that is always one pass: rows of
 another date in a file are kept or dropped by a row filter that states what
 the day-by-day replaces would leave. For the upsert source it is one job
-holding, per key, the row of the latest file (checked with one aggregate:
-no key may occur twice inside a file and again in another file); otherwise
-the files are loaded one by one.
+holding, per key, the row of the latest file, as many times as its first file
+holds the key (a later file repeating a known key is an error there as it is day by day).
 """
 
 from __future__ import annotations
@@ -33,35 +32,53 @@ def _spec(source: SourceSpec | str) -> SourceSpec:
 
 
 def ingest(spark: SparkSession, lake: Lake, source: SourceSpec | str, day: DateLike,
-           path: str | None = None) -> dict:
+           path: str | None = None, batch: tuple[str, int] | None = None) -> dict:
     """Load the daily file of ``source`` for ``day`` into its silver table."""
     spec, day = _spec(source), as_date(day)
     df = scan_csv(spark, path or daily_path(lake, spec, day), spec)
     target = lake.silver(spec)
-    if not tables.table_exists(spark, target):
-        tables.create_table(spark, target, df, spec.date_column)
+    if not tables.open_for_write(spark, target):
+        tables.create_table(spark, target, df, spec.date_column, batch=batch)
         return {"source": spec.name, "day": day, "mode": "create"}
     if spec.append_only:
         out = tables.write_partitions(spark, target, df, replace=[day], append_others=True,
-                                      count_appended=True)
+                                      count_appended=True, batch=batch)
         mode = "replace"
     else:
-        out = tables.upsert_table(spark, target, df, spec.key_column)
+        out = tables.upsert_table(spark, target, df, spec.key_column, batch=batch)
         mode = "upsert"
-    strays = [d for d in out.get("appended", []) if d != day]
-    return {"source": spec.name, "day": day, "mode": mode, **out, "stray_dates": strays,
-            "stray_rows": sum(out.get("appended_rows", {}).get(d, 0) for d in strays)}
+    return {"source": spec.name, "day": day, "mode": mode, **_with_strays(out, {day}, spec)}
+
+
+def _with_strays(out: dict, days: set, spec: SourceSpec) -> dict:
+    """``out`` with the dates, and for append sources the rows, that lie outside the loaded days."""
+    strays = [d for d in out.get("appended", []) if d not in days] if spec.append_only else []
+    return {**out, "stray_dates": strays, "stray_rows": sum(out.get("appended_rows", {}).get(d, 0) for d in strays)}
 
 
 def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
-                 days: list[DateLike]) -> dict:
-    """Load the daily files of ``days`` (one job when that is equivalent)."""
+                 days: list[DateLike], batch: tuple[str, int] | None = None) -> dict:
+    """Load the daily files of ``days`` in one job, with the result of loading them one by one
+    in date order. A first load takes its columns from the first day's file, and the
+    other days follow. ``batch`` names the stream batch that asks for it (see ``tables``)."""
     spec = _spec(source)
     days = sorted_dates(days)
     if not days:
         return {"source": spec.name, "days": [], "mode": "none"}
-    df = scan_csv(spark, [daily_path(lake, spec, d) for d in days], spec, with_file_day=True)
     target = lake.silver(spec)
+    exists = tables.open_for_write(spark, target)
+    if exists and tables.applied(spark, target, batch):
+        return {"source": spec.name, "days": days, "mode": "skipped"}
+    days_left = days
+    if not spec.append_only:
+        begun = (f"{batch[0]}.first", batch[1]) if batch else None
+        if not exists:
+            ingest(spark, lake, spec, days[0], batch=begun)
+        if not exists or tables.applied(spark, target, begun):
+            days_left = days[1:]
+        if not days_left:
+            return {"source": spec.name, "days": days, "mode": "create"}
+    df = scan_csv(spark, [daily_path(lake, spec, d) for d in days_left], spec, with_file_day=True)
     if spec.append_only:
         # Loading day by day in date order, a row dated D found in the file of
         # day F survives unless D's own file is in the batch and loads after
@@ -69,49 +86,43 @@ def ingest_range(spark: SparkSession, lake: Lake, source: SourceSpec | str,
         # batch is one pass over the files and one write, strays included.
         c = F.col(spec.date_column)
         rows = df.filter(c.isNull() | ~c.isin(days) | (F.col(FILE_DAY) >= c)).drop(FILE_DAY)
-        if not tables.table_exists(spark, target):
-            tables.create_table(spark, target, rows, spec.date_column)
+        if not exists:
+            tables.create_table(spark, target, rows, spec.date_column, batch=batch)
             return {"source": spec.name, "days": days, "mode": "create"}
         out = tables.write_partitions(spark, target, rows, replace=days, append_others=True,
-                                      count_appended=True)
-        strays = [d for d in out["appended"] if d not in set(days)]
-        return {"source": spec.name, "days": days, "mode": "one_job", **out, "stray_dates": strays,
-                "stray_rows": sum(out["appended_rows"].get(d, 0) for d in strays)}
-    # Upsert source. When no key occurs twice inside one file, loading the
-    # files in date order leaves, for each key, the row of the latest file
-    # holding it (an earlier file's row is inserted or updated, then updated
-    # again). So the batch is reduced to those rows and upserted once. The
-    # reduction is an aggregate per (key, file) and per key, joined back on
-    # one row per key: no window over a possibly hot key. NULL keys never
-    # match, so all their rows stay. A key repeated inside a file and present
-    # in another file is rare; then the files go in one by one.
+                                      count_appended=True, batch=batch)
+        return {"source": spec.name, "days": days, "mode": "one_job", **_with_strays(out, set(days), spec)}
     parsed = scratch_dir(spark, f"ingest-{spec.name}")
-    df.write.mode("overwrite").parquet(parsed)  # the batch's CSV is parsed once
+    df.write.parquet(parsed)  # the batch's CSV is parsed once; the upsert reads this copy too
     try:
-        return _upsert_range(spark, lake, spec, days,
-                             spark.read.schema(df.schema).parquet(parsed), target)
+        rows = _latest_rows(spark.read.schema(df.schema).parquet(parsed), spec.key_column)
+        out = tables.upsert_table(spark, target, rows, spec.key_column, batch=batch, stored=True)
     finally:
         tables._FS(spark, parsed).delete(parsed)
+    return {"source": spec.name, "days": days, "mode": "one_job" if exists else "create", **out}
+
 
+def _latest_rows(df, key: str):
+    """The rows that loading a batch of files one by one would leave, as one source for one upsert.
 
-def _upsert_range(spark: SparkSession, lake: Lake, spec: SourceSpec, days: list,
-                  df, target: str) -> dict:
-    key = spec.key_column
+    A key's first file inserts (or, known to the table, updates) its rows, and each later file updates
+    them all: what stays is the row of the latest file, as many times as the first file holds
+    the key. A later file that repeats the key is an error, as it is day by day; a key of the table repeated in its first
+    file is found by the upsert itself, since the copies repeat it. One aggregate per (key, file) and
+    one per key, joined back on one row per key: no window over a hot key. NULL keys never match, so all
+    their rows stay.
+    """
     per_file = (df.filter(F.col(key).isNotNull())
                 .groupBy(key, FILE_DAY).agg(F.count(F.lit(1)).alias("_c")))
-    per_key = per_file.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_files"), F.max("_c").alias("_most"),
-        F.max(FILE_DAY).alias("_last"))
-    if not per_key.filter((F.col("_files") > 1) & (F.col("_most") > 1)).isEmpty():
-        results = [ingest(spark, lake, spec, d) for d in days]
-        return {"source": spec.name, "days": days, "mode": "day_by_day", "runs": results}
-    latest = df.join(per_key.select(key, F.col("_last").alias(FILE_DAY)), [key, FILE_DAY], "left_semi")
-    rows = latest.unionByName(df.filter(F.col(key).isNull())).drop(FILE_DAY)
-    if not tables.table_exists(spark, target):
-        tables.create_table(spark, target, rows, spec.date_column)
-        return {"source": spec.name, "days": days, "mode": "create"}
-    out = tables.upsert_table(spark, target, rows, spec.key_column)
-    return {"source": spec.name, "days": days, "mode": "one_job", **out}
+    # Bounded by the files of the batch.
+    per_key = per_file.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(FILE_DAY, "_c"))).alias("_f"))
+    again = F.exists(F.slice("_f", 2, F.size("_f")), lambda x: x["_c"] > 1)
+    per_key = per_key.filter(F.when(again, F.raise_error(F.concat(
+        F.lit("upsert: source key matched more than once: "), F.col(key).cast("string")))).isNull())
+    last = per_key.select(key, F.element_at("_f", -1)[FILE_DAY].alias(FILE_DAY),
+                          F.when(F.size("_f") > 1, F.col("_f")[0]["_c"]).otherwise(1).cast("int").alias("_times"))
+    latest = df.join(last, [key, FILE_DAY]).withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+    return latest.select(*df.columns).unionByName(df.filter(F.col(key).isNull())).drop(FILE_DAY)
 
 
 def available_days(spark: SparkSession, lake: Lake, source: SourceSpec | str,

@@ -10,7 +10,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+#: Amounts keep four decimals, as the gold totals do; nothing is rounded before a sum.
+MONEY = T.DecimalType(20, 4)
 
 # ---------------------------------------------------------------------------
 # Source systems, silver tables and gold tables of the lake.
@@ -45,7 +46,7 @@ class SourceSpec:
 
 VENDAS = SourceSpec(
     name="vendas", system="sistema_vendas", domain="vendas", table="vendas",
-    prefix="vendas", date_column="data_venda", key_column="produto_id",
+    prefix="vendas", date_column="data_venda", key_column=None,
     append_only=True,
     columns=(
         ("data_venda", T.DateType()),
@@ -58,7 +59,7 @@ VENDAS = SourceSpec(
 
 ESTOQUE = SourceSpec(
     name="estoque", system="sistema_estoque", domain="estoque", table="estoque",
-    prefix="estoque", date_column="data_referencia", key_column="produto_id",
+    prefix="estoque", date_column="data_referencia", key_column=None,
     append_only=True,
     columns=(
         ("produto_id", T.IntegerType()),
@@ -84,7 +85,7 @@ DEVOLUCAO = SourceSpec(
 
 FRETE = SourceSpec(
     name="frete", system="sistema_frete", domain="frete", table="frete",
-    prefix="frete", date_column="data_envio", key_column="pedido_id",
+    prefix="frete", date_column="data_envio", key_column=None,
     append_only=True,
     columns=(
         ("pedido_id", T.StringType()),
@@ -97,7 +98,7 @@ FRETE = SourceSpec(
 
 TRIBUTOS = SourceSpec(
     name="tributos", system="sistema_tributos", domain="tributos", table="tributos",
-    prefix="tributos", date_column="data_pagamento", key_column="pedido_id",
+    prefix="tributos", date_column="data_pagamento", key_column=None,
     append_only=True,
     columns=(
         ("data_pagamento", T.DateType()),
@@ -114,14 +115,13 @@ SOURCES: dict[str, SourceSpec] = {
 
 @dataclass(frozen=True)
 class GoldSpec:
-    """One gold table: its folder, its silver inputs and its measure columns."""
+    """One gold table: its folder, its silver inputs and its keys."""
 
     name: str
     area: str
     table: str
     inputs: tuple[str, ...]
     keys: tuple[str, ...]
-    measures: tuple[str, ...]
     date_column: str = "CodigoData"
 
 
@@ -129,22 +129,18 @@ GOLD_PRODUTOS = GoldSpec(
     name="produtos", area="vendas", table="tb_gd_resumo_produtos_filiais",
     inputs=("devolucao", "estoque", "vendas"),
     keys=("CodigoData", "ProdutoId", "FilialId"),
-    measures=("TotalDevolvido", "TotalEmEstoque", "TotalQuantidadeVendida",
-              "TotalValorVendido", "TicketMedio"),
 )
 
 GOLD_FRETES = GoldSpec(
     name="fretes", area="logistica", table="tb_gd_resumo_fretes_pagos",
     inputs=("frete",),
     keys=("CodigoData", "FilialId", "Transportadora"),
-    measures=("TotalFretePago",),
 )
 
 GOLD_IMPOSTOS = GoldSpec(
     name="impostos", area="tributario", table="tb_gd_resumo_impostos_pagos",
     inputs=("tributos",),
     keys=("CodigoData", "FilialId", "TipoImposto"),
-    measures=("TotalImpostoPago",),
 )
 
 GOLDS: dict[str, GoldSpec] = {g.name: g for g in (GOLD_PRODUTOS, GOLD_FRETES, GOLD_IMPOSTOS)}

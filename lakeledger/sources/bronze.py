@@ -3,18 +3,19 @@
 A daily file is ``bronze/{system}/{table}/{prefix}_{YYYY_MM_DD}.csv``; it may
 be a single file or a folder of part files (as Spark writes it).
 
-Reading binds columns by their header names, never by position: every file's
-header line is read (one small read per file, no Spark job), files are grouped
+Reading binds columns by their header names, never by position: the header
+line of every part file is read (one small read per file, no Spark job), part files are grouped
 by header, each group becomes one CSV scan with an all-STRING schema, and the
-groups are unioned by name. Declared columns are then cast to their types
-(ANSI casts: a bad value fails the job instead of becoming NULL), declared
-columns a file lacks read as NULL, and extra columns are kept as STRING.
+groups are unioned by name. Part files of zero length are skipped. Declared columns are then cast to their types
+(ANSI casts: a bad value fails the job instead of becoming NULL, and so does an amount with more
+decimals than money holds), declared columns a file lacks read as NULL, and extra columns are kept as STRING.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeledger.functions.dates import DateLike, as_date, file_token
-from lakeledger.schemas import Lake, SourceSpec
+from lakeledger.schemas import MONEY, Lake, SourceSpec
 from lakeledger.sources.tables import _FS
 
 
@@ -32,27 +33,24 @@ def daily_path(lake: Lake, spec: SourceSpec, day: DateLike) -> str:
     return f"{lake.bronze_dir(spec)}/{spec.prefix}_{file_token(day)}.csv"
 
 
-def _first_data_file(fs: _FS, path: str) -> str | None:
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a daily file: itself, or the part files of a folder; empty ones are left out."""
+    fs = _FS(spark, path)
     if not fs.exists(path):
-        return None
-    if not fs.fs.getFileStatus(fs.p(path)).isDirectory():
-        return path
-    for name, is_dir in sorted(fs.children(path)):
-        if not is_dir and not name.startswith((".", "_")):
-            return f"{path}/{name}"
-    return None
+        raise FileNotFoundError(path)
+    status = fs.fs.getFileStatus(fs.p(path))
+    if not status.isDirectory():
+        return [path] if status.getLen() else []
+    return [f"{path}/{s.getPath().getName()}" for s in sorted(fs.fs.listStatus(fs.p(path)), key=lambda s: s.getPath().getName())
+            if not s.isDirectory() and s.getLen() and not s.getPath().getName().startswith((".", "_"))]
 
 
 def read_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """Column names from the first line of a CSV file (or of the first part
-    file of a folder); None when there is no file or it is empty."""
+    """Column names from the first line of a CSV file; None when it is empty."""
     fs = _FS(spark, path)
-    f = _first_data_file(fs, path)
-    if f is None:
-        return None
     jvm = fs._jvm
-    stream = fs.fs.open(fs.p(f))
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs._conf).getCodec(fs.p(f))
+    stream = fs.fs.open(fs.p(path))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs._conf).getCodec(fs.p(path))
     if codec is not None:
         stream = codec.createInputStream(stream)
     try:
@@ -62,7 +60,7 @@ def read_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
         stream.close()
     if not line:
         return None
-    line = line.lstrip("﻿")
+    line = line.lstrip("\ufeff")
     return tuple(next(csv.reader(io.StringIO(line))))
 
 
@@ -70,12 +68,6 @@ FILE_DAY = "_dia_arquivo"
 HEADER_READERS = 16
 
 
-def _header_or_missing(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    if not _FS(spark, path).exists(path):
-        raise FileNotFoundError(path)
-    return read_header(spark, path)
-
-
 def scan_csv(spark: SparkSession, paths: str | Iterable[str], spec: SourceSpec,
              with_file_day: bool = False) -> DataFrame:
     """Typed rows of one or more daily files of ``spec``.
@@ -86,13 +78,14 @@ def scan_csv(spark: SparkSession, paths: str | Iterable[str], spec: SourceSpec,
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
-    # One small read per file; issued from a few threads so a back-fill of
-    # many daily files on object storage is not a long serial loop.
-    with ThreadPoolExecutor(max_workers=min(HEADER_READERS, max(1, len(paths)))) as pool:
-        headers = list(pool.map(lambda p: _header_or_missing(spark, p), paths))
-    for p, header in zip(paths, headers):
+    # Small reads, issued from a few threads so a back-fill of many daily
+    # files on object storage is not a long serial loop.
+    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
+        files = [f for part in pool.map(lambda p: part_files(spark, p), paths) for f in part]
+        headers = list(pool.map(lambda f: read_header(spark, f), files))
+    for f, header in zip(files, headers):
         if header is not None:
-            groups.setdefault(header, []).append(p)
+            groups.setdefault(header, []).append(f)
     frames = []
     for header, group in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
@@ -121,6 +114,9 @@ def typed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     for name, dtype in spec.columns:
         src = have.get(name.lower())
         col = F.col(f"`{src}`") if src else F.lit(None)
+        if src and dtype == MONEY:
+            declared.append(exact_money(F.trim(col), name).alias(name))
+            continue
         declared.append(F.trim(col).cast(dtype).alias(name) if src and not isinstance(
             dtype, T.StringType) else col.cast(dtype).alias(name))
     known = {c.lower() for c in spec.column_names}
@@ -130,15 +126,25 @@ def typed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     return raw.select(*declared, *extras, *tail)
 
 
+def exact_money(text, name: str):
+    """Text as money; an amount with more decimals than money holds fails instead of being rounded."""
+    wide = text.cast(T.DecimalType(38, 18))
+    lost = F.raise_error(F.concat(F.lit(f"{name}: more than {MONEY.scale} decimals: "), text))
+    return F.when(wide != wide.cast(MONEY), lost.cast(MONEY)).otherwise(wide.cast(MONEY))
+
+
 def export_daily(spark: SparkSession, df: DataFrame, lake: Lake, spec: SourceSpec) -> list:
     """Write ``df`` as one daily CSV (a folder of part files) per date.
 
-    One Spark job writes every date under a staging folder; each date's folder
-    is then renamed to the daily file name. Returns the dates written.
+    One Spark job writes every date under a staging folder of its own; each date's folder
+    is then renamed to the daily file name. Rows without a date belong to no daily file
+    and are refused before anything is written. Returns the dates written.
     """
+    if not df.filter(F.col(spec.date_column).isNull()).isEmpty():
+        raise ValueError(f"{spec.name}: rows without {spec.date_column} belong to no daily file")
     fs = _FS(spark, lake.root)
     base = lake.bronze_dir(spec)
-    stage = f"{base}/_export"
+    stage = f"{base}/_export-{uuid.uuid4().hex[:12]}"
     (df.withColumn("_dia", F.col(spec.date_column)).hint("rebalance", "_dia")
        .write.mode("overwrite").option("header", True)
        .partitionBy("_dia").csv(stage))
@@ -155,4 +161,4 @@ def export_daily(spark: SparkSession, df: DataFrame, lake: Lake, spec: SourceSpe
     return sorted(days)
 
 
-__all__ = ["FILE_DAY", "daily_path", "export_daily", "read_header", "scan_csv", "typed"]
+__all__ = ["FILE_DAY", "daily_path", "export_daily", "part_files", "read_header", "scan_csv", "typed"]

@@ -2,10 +2,11 @@
 
 Layout of a table at ``path``::
 
-    path/_schema.json              column names and types (the "table exists" mark)
+    path/_schema-<n>.json          column names and types; the highest n counts ("table exists" mark)
     path/<col>=<yyyy-mm-dd>/...    one folder per date, plain Spark Parquet files
     path/_staging/<id>/...         a write in progress (ignored by readers)
     path/_trash/<id>/...           replaced partitions, deleted after a commit
+    path/_applied/<stream>-<n>     the last batch of a stream that the table holds
 
 Any Parquet reader can read the table (``spark.read.parquet(path)``); folders
 starting with ``_`` are skipped by Spark's file listing.
@@ -13,10 +14,14 @@ starting with ``_`` are skipped by Spark's file listing.
 Writes never touch the live folders until the data is complete: Spark writes
 the new partitions under ``_staging`` (its own output committer makes that
 write safe against lost executors and task retries), a ``_COMMIT.json`` file
-records what the write replaces, and only then are partition folders swapped
-by renames. A crash before the commit file leaves the table untouched; a crash
-after it is finished by ``recover`` at the next open. Partition swaps are
-directory renames, so no data is copied twice. One writer per table is assumed
+records what the write replaces and the schema it brings, and only then are
+partition folders swapped by renames. A crash before the commit file leaves the table untouched; a
+crash after it is finished by ``recover``, which only writers call: asking whether a table
+exists, or reading it, changes nothing. A new schema is a new file; no
+file is deleted before its successor is in place, and a first load is staged
+like any other write. The protocol needs a file system whose folder renames are
+atomic (HDFS, hierarchical object stores); a plain object store, where a rename is many
+copies, is not supported. One writer per table is assumed
 (as with a daily job); readers may briefly miss a partition during a swap.
 """
 
@@ -34,10 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeledger.functions.dates import as_date
-from lakeledger.operators.maintenance import conform, source_key_counts, upsert
+from lakeledger.operators.maintenance import SPREAD, co_partitioned, conform, source_key_counts, update_matched, without_keys
 from lakeledger.session import scratch_dir
 
-SCHEMA_FILE = "_schema.json"
+SCHEMA_PREFIX = "_schema-"
+APPLIED = "_applied"
 STAGING = "_staging"
 TRASH = "_trash"
 COMMIT = "_COMMIT.json"
@@ -49,6 +55,10 @@ class TableNotFound(Exception):
     """Raised by ``scan_table`` when no table exists at the path."""
 
 
+class TableDamaged(Exception):
+    """Date folders stand at the path, but neither a schema nor a commit that would bring one."""
+
+
 # --------------------------------------------------------------------------
 # File system helpers (Hadoop FileSystem, so HDFS, S3A, ABFS and local paths
 # all behave the same way).
@@ -90,13 +100,15 @@ class _FS:
                 for s in self.fs.listStatus(self.p(path))]
 
     def write_text(self, path: str, text: str) -> None:
+        """Write a new small file in one step; one that already stands there is kept."""
+        if self.exists(path):
+            return
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
         out = self.fs.create(self.p(tmp), True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        self.delete(path)
         self.rename(tmp, path)
 
     def read_text(self, path: str) -> str:
@@ -160,22 +172,43 @@ def _date_filter(col: str, dates: Iterable[dt.date | None]):
 # --------------------------------------------------------------------------
 
 
+def _schema_versions(fs: _FS, path: str) -> list[int]:
+    names = [n for n, is_dir in fs.children(path) if not is_dir and n.startswith(SCHEMA_PREFIX) and n.endswith(".json")]
+    return sorted(int(n[len(SCHEMA_PREFIX):-len(".json")]) for n in names)
+
+
+def _has_dates(fs: _FS, path: str) -> bool:
+    return any(is_dir and "=" in name and not name.startswith(("_", ".")) for name, is_dir in fs.children(path))
+
+
+def _committed(fs: _FS, path: str) -> bool:
+    return any(is_dir and fs.exists(f"{path}/{STAGING}/{stage}/{COMMIT}") for stage, is_dir in fs.children(f"{path}/{STAGING}"))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was created at ``path``. A folder left by a first load
-    that never finished does not count; any other I/O error is raised."""
+    """Whether a table was created at ``path``. A pure read: writes in progress are
+    left alone. A first load that is not finished does not count; date folders
+    without a schema, and without a commit that brings one, are an error."""
     fs = _FS(spark, path)
-    if fs.exists(f"{path}/{SCHEMA_FILE}"):
-        recover(spark, path)
+    if _schema_versions(fs, path):
         return True
+    if _has_dates(fs, path) and not _committed(fs, path):
+        raise TableDamaged(path)
     return False
 
 
+def open_for_write(spark: SparkSession, path: str) -> bool:
+    """``table_exists`` for the table's writer: interrupted writes are settled first."""
+    recover(spark, path)
+    return table_exists(spark, path)
+
+
 def read_schema(spark: SparkSession, path: str) -> tuple[T.StructType, str]:
     fs = _FS(spark, path)
-    f = f"{path}/{SCHEMA_FILE}"
-    if not fs.exists(f):
+    versions = _schema_versions(fs, path)
+    if not versions:
         raise TableNotFound(path)
-    meta = json.loads(fs.read_text(f))
+    meta = json.loads(fs.read_text(f"{path}/{SCHEMA_PREFIX}{versions[-1]:08d}.json"))
     return T.StructType.fromJson(meta["schema"]), meta["partition_column"]
 
 
@@ -224,9 +257,8 @@ def _merged_schema(old: T.StructType | None, df: DataFrame) -> T.StructType:
     return T.StructType(old.fields + extra)
 
 
-def _write_schema(spark: SparkSession, path: str, schema: T.StructType, col: str) -> None:
-    meta = {"schema": json.loads(schema.json()), "partition_column": col}
-    _FS(spark, path).write_text(f"{path}/{SCHEMA_FILE}", json.dumps(meta, indent=1))
+def _schema_text(schema: T.StructType, col: str) -> str:
+    return json.dumps({"schema": json.loads(schema.json()), "partition_column": col}, indent=1)
 
 
 def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -260,16 +292,51 @@ def _layout(df: DataFrame, col: str, rebalance: bool, sort_by: list[str] | None)
 
 
 def create_table(spark: SparkSession, path: str, df: DataFrame, col: str,
-                 rebalance: bool = True, sort_by: list[str] | None = None) -> None:
-    """First load: the frame becomes the whole table."""
-    _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(path)
-    _write_schema(spark, path, df.schema, col)
+                 rebalance: bool = True, sort_by: list[str] | None = None, batch: tuple[str, int] | None = None) -> None:
+    """First load: the frame becomes the whole table. A path that already holds a
+    table, or date folders of one, is refused."""
+    fs = _FS(spark, path)
+    if open_for_write(spark, path):
+        raise FileExistsError(f"a table already stands at {path}")
+    stage_id, stage = _stage(path)
+    _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(stage)
+    names = list(_staged(fs, stage, col).values())
+    _commit(fs, path, stage_id, {"column": col, "replace": [], "append": names, "schema": _schema_text(df.schema, col),
+                                 "version": 1, "batch": batch})
+
+
+def _stage(path: str) -> tuple[str, str]:
+    stage_id = uuid.uuid4().hex
+    return stage_id, f"{path}/{STAGING}/{stage_id}"
+
+
+def _staged(fs: _FS, stage: str, col: str) -> dict:
+    """Date -> folder name of the partitions in a staging folder."""
+    out = {}
+    for name, is_dir in fs.children(stage):
+        ok, value = _parse_partition(col, name) if is_dir else (False, None)
+        if ok:
+            out[value] = name
+    return out
+
+
+def _commit(fs: _FS, path: str, stage_id: str, commit: dict) -> None:
+    fs.write_text(f"{path}/{STAGING}/{stage_id}/{COMMIT}", json.dumps(commit))
+    _finish(fs, path, stage_id)
+
+
+def applied(spark: SparkSession, path: str, batch: tuple[str, int] | None) -> bool:
+    """Whether the table already holds this batch (stream name, number) of a stream."""
+    if batch is None:
+        return False
+    done = [int(n.rsplit("-", 1)[1]) for n, _ in _FS(spark, path).children(f"{path}/{APPLIED}") if n.rsplit("-", 1)[0] == batch[0]]
+    return bool(done) and batch[1] <= max(done)
 
 
 def write_partitions(spark: SparkSession, path: str, df: DataFrame,
                      replace: Iterable[dt.date | None] = (), append_others: bool = True,
                      rebalance: bool = True, sort_by: list[str] | None = None,
-                     count_appended: bool = False) -> dict:
+                     count_appended: bool = False, batch: tuple[str, int] | None = None) -> dict:
     """Write ``df`` into the table in one Spark job.
 
     Each date in ``replace`` ends up holding exactly the frame's rows of that
@@ -279,8 +346,12 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
     with ``count_appended``, also the number of rows appended per date
     (``appended_rows``), counted from the staged files before the commit --
     a second small job, run only when some date was appended to.
+    ``batch`` (stream name, number) is recorded with the commit; a batch that the
+    table already holds is not applied again.
     """
     recover(spark, path)
+    if applied(spark, path, batch):
+        return {"replaced": [], "appended": [], "skipped": True}
     schema, col = read_schema(spark, path)
     df = _aligned(df, schema)
     new_schema = _merged_schema(schema, df)
@@ -289,15 +360,9 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
         df = df.filter(_date_filter(col, replace))
 
     fs = _FS(spark, path)
-    stage_id = uuid.uuid4().hex
-    stage = f"{path}/{STAGING}/{stage_id}"
+    stage_id, stage = _stage(path)
     _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(stage)
-
-    staged = {}
-    for name, is_dir in fs.children(stage):
-        ok, value = _parse_partition(col, name) if is_dir else (False, None)
-        if ok:
-            staged[value] = name
+    staged = _staged(fs, stage, col)
     appended = [d for d in staged if d not in replace]
     appended_rows = None
     if count_appended:
@@ -307,15 +372,15 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
             counted = (spark.read.schema(new_schema).option("basePath", stage).parquet(*dirs)
                        .groupBy(col).count().collect())
             appended_rows = {r[0]: r[1] for r in counted}
-    if new_schema != schema:
-        _write_schema(spark, path, new_schema, col)
     commit = {
         "column": col,
         "replace": [partition_dir(col, d) for d in replace],
         "append": [partition_dir(col, d) for d in appended],
+        "batch": batch,
     }
-    fs.write_text(f"{stage}/{COMMIT}", json.dumps(commit))
-    _finish(fs, path, stage_id)
+    if new_schema != schema:
+        commit |= {"schema": _schema_text(new_schema, col), "version": _schema_versions(fs, path)[-1] + 1}
+    _commit(fs, path, stage_id, commit)
     out = {"replaced": sorted(replace, key=_sort_key), "appended": sorted(appended, key=_sort_key)}
     if appended_rows is not None:
         out["appended_rows"] = appended_rows
@@ -353,10 +418,21 @@ def _finish(fs: _FS, path: str, stage_id: str) -> None:
 
     def move_files(name: str) -> None:
         src = f"{stage}/{name}"
+        if not fs.exists(f"{path}/{name}"):  # a date new to the table: one rename
+            install(name)
+            return
         for fname, is_dir in fs.children(src):
             if not is_dir and not fname.startswith((".", "_")):
                 fs.rename(f"{src}/{fname}", f"{path}/{name}/{fname}")
 
+    # The schema goes in first where the table has one (older rows read a new
+    # column as NULL); a first load gets it last, so that a table with a schema is whole.
+    def put_schema() -> None:
+        if commit.get("schema"):
+            fs.write_text(f"{path}/{SCHEMA_PREFIX}{commit['version']:08d}.json", commit["schema"])
+
+    if commit.get("version", 0) > 1:
+        put_schema()
     # Renames within a phase are independent; a back-fill over years of dates
     # issues them from a few threads instead of one long serial loop.
     if not fs.exists(f"{stage}/{RETIRED}"):
@@ -366,6 +442,14 @@ def _finish(fs: _FS, path: str, stage_id: str) -> None:
     # Phase 2: install the new partitions and move appended files in.
     _each(install, commit["replace"])
     _each(move_files, commit["append"])
+    put_schema()
+    if commit.get("batch"):
+        stream, number = commit["batch"]
+        old = [n for n, _ in fs.children(f"{path}/{APPLIED}") if n.rsplit("-", 1)[0] == stream]
+        fs.write_text(f"{path}/{APPLIED}/{stream}-{number}", "")
+        for name in old:
+            if int(name.rsplit("-", 1)[1]) < number:
+                fs.delete(f"{path}/{APPLIED}/{name}")
     fs.delete(stage)
     fs.delete(trash)
 
@@ -396,54 +480,51 @@ def recover(spark: SparkSession, path: str) -> None:
         fs.delete(f"{path}/{TRASH}/{stage_id}")
 
 
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str) -> dict:
+def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str,
+                 batch: tuple[str, int] | None = None, stored: bool = False) -> dict:
     """Update every column of target rows whose key is in ``source``, insert
-    the other source rows; only the date partitions involved are rewritten.
+    the other source rows; only dates that hold a matched row are rewritten.
 
     Pass 1 reads just (key, date) of the table and joins it with the source's
-    per-key counts: that yields the dates holding a matched row and fails the
-    job if a matched key occurs twice in the source. Pass 2 rewrites those
-    dates plus the source's own dates with the frame upsert: each matched row
-    takes the source values, the other source rows are inserted. A row whose
-    date changed moves partition. Extra source columns are dropped (no schema
+    per-key counts: that yields the matched keys and their dates, and fails the
+    job if a matched key occurs twice in the source. Pass 2 rewrites those dates
+    (only their folders are read): each matched row takes the source values. Source rows without
+    a match are appended to their dates, as are rows whose date changed to one
+    that is not rewritten. Extra source columns are dropped (no schema
     evolution on upsert), as in a MERGE.
 
-    Both passes read the source several times, so it is first written once as
-    Parquet under the shared checkpoint folder (one parse of the day's CSV,
-    lineage cut there) and deleted when the upsert is done.
+    Both passes read the source, so it is first written once as Parquet under the
+    shared checkpoint folder (one parse of the day's CSV, lineage cut there) and deleted when
+    the upsert is done; ``stored`` says that the caller has done that.
     """
     recover(spark, path)
+    if applied(spark, path, batch):
+        return {"replaced": [], "appended": [], "skipped": True}
     target = scan_table(spark, path)
-    _, col = read_schema(spark, path)
+    schema, col = read_schema(spark, path)
     conformed = conform(source, target)
-    work = scratch_dir(spark, "upsert-source")
-    conformed.write.mode("overwrite").parquet(work)
+    work = scratch_dir(spark, "upsert")
     try:
-        src = spark.read.schema(conformed.schema).parquet(work)
-        return _upsert_passes(spark, path, target, src, key, col)
+        if not stored:
+            conformed.write.parquet(f"{work}/source")
+            conformed = spark.read.schema(conformed.schema).parquet(f"{work}/source")
+        hits = co_partitioned(target.select(key, col).filter(F.col(key).isNotNull()), key).join(
+            co_partitioned(source_key_counts(conformed, key), key), [key, SPREAD], "inner")
+        # The check names a column of each side, so the optimizer cannot evaluate
+        # it below the join, i.e. on source keys that match nothing.
+        hits = hits.filter(F.when(F.col("_n") > 1, F.raise_error(F.concat(
+            F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"),
+            F.lit(" (target date "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")), F.lit(")")))).isNull())
+        matched = hits.select(key, col).distinct()
+        matched.write.parquet(f"{work}/matched")
+        matched = spark.read.schema(matched.schema).parquet(f"{work}/matched")
+        # Bounded by the number of distinct dates: partition metadata, not data.
+        dates = [r[0] for r in matched.select(col).distinct().collect()]
+        dirs = [f"{path}/{partition_dir(col, d)}" for d in dates]
+        old = (spark.read.schema(schema).option("basePath", path).parquet(*dirs).select(*schema.fieldNames())
+               if dirs else spark.createDataFrame([], schema))
+        new = without_keys(conformed, matched.select(key).distinct(), key)
+        rows = update_matched(old, conformed, key).unionByName(new)
+        return write_partitions(spark, path, rows, replace=dates, append_others=True, batch=batch)
     finally:
         _FS(spark, work).delete(work)
-
-
-def _upsert_passes(spark: SparkSession, path: str, target: DataFrame, src: DataFrame,
-                   key: str, col: str) -> dict:
-    counts = source_key_counts(src, key)
-    hits = target.select(key, col).join(counts, key, "inner")
-    # The check names a column of each side, so the optimizer cannot evaluate
-    # it below the join, i.e. on source keys that match nothing.
-    checked = hits.filter(
-        F.when(F.col("_n") > 1, F.raise_error(F.concat(
-            F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"),
-            F.lit(" (target date "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")),
-            F.lit(")"))))
-        .isNull()
-    )
-    touched = checked.select(col).union(src.select(col)).distinct()
-    # Bounded by the number of distinct dates: partition metadata, not data.
-    dates = [r[0] for r in touched.collect()]
-
-    # Every matched target row lies in a touched date, so the upsert of the
-    # touched dates alone gives those dates' final rows.
-    merged = upsert(target.filter(_date_filter(col, dates)), src, key)
-    result = write_partitions(spark, path, merged, replace=dates, append_others=False)
-    return result

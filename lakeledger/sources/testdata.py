@@ -82,15 +82,17 @@ def _pick(index, names: list[str]):
     return expr.otherwise(names[-1])
 
 
-def vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vendas(spark: SparkSession, sf_dir: str, fine: bool = False) -> DataFrame:
+    """Sales; with ``fine`` the unit values are discounts with four decimals instead of prices."""
     df = _lines_with_branch(spark, sf_dir, "l_shipdate", "l_partkey", "l_quantity",
-                            "l_extendedprice")
+                            "l_extendedprice", "l_discount")
+    value = _dec("l_extendedprice", 12, 2) * _dec("l_discount", 4, 2) if fine else _dec("l_extendedprice", 18, 2)
     return df.select(
         _month().alias("data_venda"),
         _product().alias("produto_id"),
         F.col("n_name").alias("filial_id"),
         _units().alias("quantidade"),
-        F.col("l_extendedprice").cast(MONEY).alias("valor_unitario"),
+        value.cast(MONEY).alias("valor_unitario"),
     )
 
 
@@ -121,10 +123,12 @@ def devolucao(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def frete(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frete(spark: SparkSession, sf_dir: str, fine: bool = False) -> DataFrame:
+    """Freight; with ``fine`` the fees keep their four decimals."""
     df = _lines_with_branch(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey",
                             "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
-    fee = F.round(_dec("l_extendedprice", 12, 2) * _dec("l_discount", 4, 2), 2)
+    fee = _dec("l_extendedprice", 12, 2) * _dec("l_discount", 4, 2)
+    fee = fee if fine else F.round(fee, 2)
     return df.select(
         _order_line_id().alias("pedido_id"),
         fee.cast(MONEY).alias("valor_frete"),
@@ -155,8 +159,3 @@ BUILDERS = {
     "frete": frete,
     "tributos": tributos,
 }
-
-
-def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All five sources as lazy DataFrames over ``sf_dir``."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}

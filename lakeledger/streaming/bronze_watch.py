@@ -8,17 +8,21 @@ file is loaded exactly once, late files are picked up by the next run, and a
 run after an outage catches up on everything that arrived meanwhile.
 
 The stream only lists files (the ``binaryFile`` source with just the path
-column selected does not read file contents); each micro-batch hands the new
-files' dates to the batch ingest, which reads them by header name. A batch is
-idempotent (replace by date, upsert by key), so a batch re-run after a failure
-gives the same table.
+column selected does not read file contents). What has landed since the last run is one
+batch, whatever its size: no cap cuts a day's part files over batches, and no
+age limit leaves a late file out. The batch hands its distinct days to the batch
+ingest, in date order. The table's commit records the stream and the batch number, and a
+batch that the table already holds is skipped, so one that fails after the commit and
+is run again does not append its rows twice.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeledger.functions.dates import as_date
@@ -31,37 +35,36 @@ from lakeledger.session import checkpoint_root
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
-def _day_of(path: str, spec: SourceSpec):
-    m = re.search(rf"{re.escape(spec.prefix)}_(\d{{4}})_(\d{{2}})_(\d{{2}})\.csv", path)
-    return as_date(f"{m.group(1)}-{m.group(2)}-{m.group(3)}") if m else None
+NO_AGE_LIMIT = "36500d"
 
 
 def watch_source(spark: SparkSession, lake: Lake, source: SourceSpec | str,
                  checkpoint: str | None = None, available_now: bool = True,
-                 interval: str = "1 hour", max_files_per_batch: int = 1000) -> StreamingQuery:
+                 interval: str = "1 hour") -> StreamingQuery:
     """Start a query that loads every new daily file of ``source``.
 
     ``available_now`` processes what has landed and stops (a scheduled batch
     run with exactly-once file tracking); otherwise the query keeps running and
-    checks the folder every ``interval``. A catch-up after a long outage is
-    cut into batches of at most ``max_files_per_batch`` files, oldest first,
-    so no batch hands an unbounded list of files to the driver.
+    checks the folder every ``interval``.
     """
     spec = SOURCES[source] if isinstance(source, str) else source
     checkpoint = checkpoint or f"{checkpoint_root(spark)}/lakeledger/streams/{spec.name}"
+    name = "stream-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", "*.csv")
-             .option("maxFilesPerTrigger", max_files_per_batch)
+             .option("pathGlobFilter", "*.csv*")
+             .option("maxFileAge", NO_AGE_LIMIT)
              .option("recursiveFileLookup", "true")
              .load(lake.bronze_dir(spec))
              .select("path"))
 
+    token = F.regexp_extract("path", rf"{re.escape(spec.prefix)}_(\d{{4}}_\d{{2}}_\d{{2}})\.csv", 1)
+
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        # One row per new file: bounded by the files landed since the last
-        # batch, not by their contents.
-        days = {d for d in (_day_of(r.path, spec) for r in batch.collect()) if d}
+        # Distinct days only: many part files of one day are one row.
+        found = batch.select(token.alias("day")).filter("day <> ''").distinct().collect()
+        days = [as_date(r.day.replace("_", "-")) for r in found]
         if days:
-            ingest_jobs.ingest_range(spark, lake, spec, sorted(days))
+            ingest_jobs.ingest_range(spark, lake, spec, sorted(days), batch=(name, epoch_id))
 
     writer = (files.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", checkpoint)
@@ -72,10 +75,9 @@ def watch_source(spark: SparkSession, lake: Lake, source: SourceSpec | str,
 
 
 def catch_up(spark: SparkSession, lake: Lake, source: SourceSpec | str,
-             checkpoint: str | None = None, max_files_per_batch: int = 1000) -> None:
+             checkpoint: str | None = None) -> None:
     """Load every daily file not loaded yet, then return."""
-    q = watch_source(spark, lake, source, checkpoint=checkpoint, available_now=True,
-                     max_files_per_batch=max_files_per_batch)
+    q = watch_source(spark, lake, source, checkpoint=checkpoint, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -1,6 +1,7 @@
 """CSV scan, bronze -> silver ingest, gold refresh and the end-to-end runs."""
 
 import datetime as dt
+import tempfile
 import os
 from decimal import Decimal
 
@@ -52,7 +53,7 @@ def test_scan_binds_by_header_name(spark, lake):
                   "99.99,1,RJ02,8,2025-09-20,web\n")
     df = scan_csv(spark, [a, b], VENDAS)
     assert df.columns == VENDAS.column_names + ["canal"]
-    assert dict(df.dtypes)["valor_unitario"] == "decimal(18,2)"
+    assert dict(df.dtypes)["valor_unitario"] == "decimal(20,4)"
     got = rows(df.select(*VENDAS.column_names, F.col("canal")))
     assert [r[:5] for r in got] == [
         (dt.date(2025, 9, 19), 7, "SP01", 3, Decimal("10.50")),
@@ -229,16 +230,86 @@ def test_ingest_range_upsert_revisions_are_one_job_equal_to_day_by_day(spark):
         (None, 0, d(2025, 9, 18)), (None, 0, d(2025, 9, 19))])
 
 
-def test_ingest_range_key_repeated_in_a_file_and_in_another_goes_day_by_day(spark):
+def test_ingest_range_key_repeated_in_its_first_file_is_one_job_equal_to_day_by_day(spark):
     files = {
         "2025-09-18": "n1,1,5,b,2025-09-18,A\nn1,1,6,b,2025-09-18,A\n",
         "2025-09-19": "n1,1,9,c,2025-09-19,A\n",
     }
     mode, once, daily = _upsert_batch_both_ways(spark, "t1,1,1,a,2025-09-17,A\n", files)
-    assert mode == "day_by_day"
+    assert mode == "one_job"
     assert once == daily
 
 
+@pytest.mark.parametrize("known,again", [("t1", "t1"), ("t1", "n1")])
+def test_ingest_range_key_repeated_later_or_known_to_the_table_is_an_error(spark, lake, known, again):
+    """As day by day: a file that repeats a key which the table or an earlier file holds."""
+    write_csv(lake, DEV, "2025-09-17", DEV_HEADER + f"{known},1,1,a,2025-09-17,A\n")
+    ingest_jobs.ingest(spark, lake, "devolucao", "2025-09-17")
+    write_csv(lake, DEV, "2025-09-18", DEV_HEADER + "n1,1,5,b,2025-09-18,A\n")
+    write_csv(lake, DEV, "2025-09-19", DEV_HEADER + f"{again},1,6,b,2025-09-19,A\n{again},1,7,b,2025-09-19,A\n")
+    with pytest.raises(Exception, match="matched more than once"):
+        ingest_jobs.ingest_range(spark, lake, "devolucao", ["2025-09-18", "2025-09-19"])
+    assert tables.scan_table(spark, lake.silver("devolucao")).count() == 1
+
+
+def test_first_load_of_a_range_takes_its_columns_from_the_first_day(spark):
+    got = []
+    for one_job in (True, False):
+        lake = Lake(tempfile.mkdtemp(prefix="lakeledger-cols-"))
+        write_csv(lake, DEV, "2025-09-18", DEV_HEADER + "n1,1,5,b,2025-09-18,A\n")
+        write_csv(lake, DEV, "2025-09-19", DEV_HEADER.strip() + ",extra\n" + "n2,1,6,b,2025-09-19,A,x\n")
+        days = ["2025-09-18", "2025-09-19"]
+        if one_job:
+            ingest_jobs.ingest_range(spark, lake, "devolucao", days)
+        else:
+            for d in days:
+                ingest_jobs.ingest(spark, lake, "devolucao", d)
+        df = tables.scan_table(spark, lake.silver("devolucao"))
+        got.append((df.columns, rows(df)))
+    assert got[0] == got[1] and "extra" not in got[0][0]
+
+
+def test_back_fill_of_a_missing_gold_table_reads_the_whole_history(spark, lake):
+    spec = SOURCES["tributos"]
+    df = TD.tributos(spark, SF_SMALL)
+    tables.create_table(spark, lake.silver(spec), df, spec.date_column)
+    gold_jobs.backfill(spark, lake, "impostos", "1998-01-01", "1998-03-01")
+    assert tables.scan_table(spark, lake.gold("impostos")).agg(F.min("CodigoData")).first()[0] == df.agg(F.min(spec.date_column)).first()[0]
+
+
+def test_part_files_are_bound_by_their_own_headers(spark, lake):
+    path = daily_path(lake, VENDAS, "2025-09-19")
+    os.makedirs(path)
+    bodies = {
+        "part-00000.csv": "",
+        "part-00001.csv": "data_venda,produto_id,filial_id,quantidade,valor_unitario\n2025-09-19,7,SP01,3,10.50\n",
+        "part-00002.csv": "data_venda,quantidade,filial_id,produto_id,valor_unitario\n2025-09-19,3,SP01,7,10.50\n",
+    }
+    for name, body in bodies.items():
+        with open(f"{path}/{name}", "w") as f:
+            f.write(body)
+    got = rows(scan_csv(spark, path, VENDAS))
+    assert [r[1:4] for r in got] == [(7, "SP01", 3)] * 2
+
+
+def test_an_amount_with_too_many_decimals_fails(spark, lake):
+    header = "data_venda,produto_id,filial_id,quantidade,valor_unitario\n"
+    p = write_csv(lake, VENDAS, "2025-09-19", header + "2025-09-19,7,SP01,3,0.0041\n")
+    assert scan_csv(spark, p, VENDAS).first()["valor_unitario"] == Decimal("0.0041")
+    p = write_csv(lake, VENDAS, "2025-09-20", header + "2025-09-20,7,SP01,3,0.00411\n")
+    with pytest.raises(Exception, match="more than 4 decimals"):
+        scan_csv(spark, p, VENDAS).collect()
+
+
+def test_export_refuses_rows_without_a_date(spark, lake):
+    spec = SOURCES["tributos"]
+    df = TD.tributos(spark, SF_SMALL).limit(5)
+    nulls = df.withColumn(spec.date_column, F.lit(None).cast("date"))
+    with pytest.raises(ValueError):
+        export_daily(spark, df.unionByName(nulls), lake, spec)
+    assert ingest_jobs.available_days(spark, lake, spec) == []
+
+
 def test_pipeline_day_by_day_equals_backfill(spark):
     import tempfile
     days_lake = Lake(tempfile.mkdtemp(prefix="lakeledger-days-"))

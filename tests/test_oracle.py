@@ -9,6 +9,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from lakeledger.operators import maintenance as M
+from lakeledger.registry import ORACLE, QUERIES
+from lakeledger.sources import tables
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -35,14 +38,44 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries())
+
+
+def _broken(monkeypatch, name):
+    """Disable the operator that a query is named after."""
+    if name == "replace_date":
+        monkeypatch.setattr(M, "replace_date", lambda target, *a: target)
+    elif name in ("ingest_devolucao", "stream_ingest_devolucao", "upsert_stored"):
+        monkeypatch.setattr(tables, "update_matched", lambda target, src, key: target)
+    elif name in ("refresh_incremental", "refresh_taxes", "backfill_range"):
+        real = tables.write_partitions
+
+        def keep(spark, path, df, replace=(), **k):
+            return {} if "/gold/" in path else real(spark, path, df, replace=replace, **k)
+        monkeypatch.setattr(tables, "write_partitions", keep)
+    else:  # existing dates are never replaced: the new rows are only appended
+        real = tables.write_partitions
+        monkeypatch.setattr(tables, "write_partitions", lambda spark, path, df, replace=(), **k: real(spark, path, df, replace=(), **k))
+
+
+@pytest.mark.parametrize("name", ["replace_date", "ingest_devolucao", "stream_ingest_devolucao", "upsert_stored",
+                                  "refresh_incremental", "refresh_taxes", "backfill_range", "ingest_vendas"])
+def test_a_query_fails_when_its_operator_is_disabled(spark, duck, monkeypatch, name):
+    with monkeypatch.context() as m:
+        _broken(m, name)
+        df = QUERIES[name](spark, SF_SMALL)
+        got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    res = duck.execute(ORACLE[name])
+    cols = [d[0] for d in res.description]
+    assert got != _rows(cols, res.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert _rows(df.columns, got) == _rows(cols, res.fetchall())

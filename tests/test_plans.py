@@ -2,8 +2,11 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from lakeledger import oracle as O
+from lakeledger.operators import maintenance as M
 from lakeledger.operators import reports as R
 from lakeledger.registry import QUERIES
 from lakeledger.sources import tables
@@ -54,3 +57,35 @@ def test_report_filters_reach_the_stored_gold_scan(spark, tmp_path):
     assert "In(FilialId" in p
     # Only the columns the report needs are read.
     assert "ReadSchema: struct<FilialId:string,TotalImpostoPago:double>" in p
+
+
+def test_hot_keys_of_an_upsert_are_split(spark):
+    """A third of either side on one key: every join of the upsert is split when it runs."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+        base = spark.range(0, 300_000, 1, 8).select(key.alias("k"), F.col("id").alias("v"))
+        rows = base.filter("k <> 'hot'").unionByName(spark.createDataFrame([("hot", -1)], base.schema))
+        for target, source in ((base, rows), (base.filter("k <> 'hot'"), base)):
+            df = M.upsert(target, source, "k")
+            df.write.format("noop").mode("overwrite").save()
+            df.count()
+            got = df.agg(F.count("*")).collect()[0][0]
+            assert got == 300_000
+            collected = df.select(F.max("v"))
+            collected.collect()
+            assert "skew=true" in plan(df_run(df))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def df_run(df):
+    """``df``, run to its end so that its adaptive plan is the one that ran."""
+    df._jdf.queryExecution().executedPlan().execute().count()
+    return df

@@ -46,9 +46,97 @@ def test_create_and_scan(spark, path):
     assert sorted(tables.list_partitions(spark, path, "d")) == [D1, D2]
 
 
-def test_unfinished_first_load_is_not_a_table(spark, path):
-    os.makedirs(f"{path}/d=2025-09-19")
-    assert not tables.table_exists(spark, path)
+def test_date_folders_without_schema_are_an_error_not_a_missing_table(spark, path):
+    make(spark, [("a", 1, D1)]).write.partitionBy("d").parquet(path)
+    with pytest.raises(tables.TableDamaged):
+        tables.table_exists(spark, path)
+    with pytest.raises(tables.TableDamaged):
+        tables.create_table(spark, path, make(spark, [("b", 2, D2)]), "d")
+    assert rows(spark.read.parquet(path).select("k", "v", "d")) == [("a", 1, D1)]
+
+
+def test_create_refuses_an_existing_table(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    with pytest.raises(FileExistsError):
+        tables.create_table(spark, path, make(spark, [("b", 2, D2)]), "d")
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1)]
+
+
+class Crash(Exception):
+    pass
+
+
+def _crash_at(monkeypatch, step):
+    """Every rename and small write counts as a step; the given one fails."""
+    count = [0]
+
+    def counted(fn):
+        def run(self, *a):
+            count[0] += 1
+            if count[0] == step:
+                raise Crash()
+            return fn(self, *a)
+        return run
+    monkeypatch.setattr(tables._FS, "rename", counted(tables._FS.rename))
+    monkeypatch.setattr(tables._FS, "delete", counted(tables._FS.delete))
+    return count
+
+
+@pytest.mark.parametrize("step", range(1, 13))
+def test_a_crash_at_any_step_of_a_schema_change_loses_nothing(spark, path, monkeypatch, step):
+    wide = T.StructType([*SCHEMA.fields, T.StructField("x", T.StringType())])
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2)]), "d")
+    new = make(spark, [("c", 3, D2, "new"), ("e", 5, D3, "new")], wide)
+    with monkeypatch.context() as m:
+        _crash_at(m, step)
+        try:
+            tables.write_partitions(spark, path, new, replace=[D2])
+        except Crash:
+            pass
+    assert tables.table_exists(spark, path)
+    tables.write_partitions(spark, path, new, replace=[D2, D3], append_others=False)
+    assert rows(tables.scan_table(spark, path).select("k", "v", "d")) == [("a", 1, D1), ("c", 3, D2), ("e", 5, D3)]
+
+
+@pytest.mark.parametrize("step", range(1, 6))
+def test_a_crash_at_any_step_of_a_first_load_can_be_repeated(spark, path, monkeypatch, step):
+    df = make(spark, [("a", 1, D1), ("b", 2, D2)])
+    with monkeypatch.context() as m:
+        _crash_at(m, step)
+        try:
+            tables.create_table(spark, path, df, "d")
+        except Crash:
+            pass
+    if not tables.open_for_write(spark, path):
+        tables.create_table(spark, path, df, "d")
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("b", 2, D2)]
+
+
+def test_asking_for_existence_leaves_a_write_in_progress_alone(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d")
+    stage = f"{path}/{tables.STAGING}/running"
+    make(spark, [("z", 9, D1)]).write.partitionBy("d").parquet(stage)
+    assert tables.table_exists(spark, path)
+    assert tables.scan_table(spark, path).count() == 1
+    assert os.path.exists(f"{stage}/d=2025-09-19")
+
+
+def test_a_batch_is_applied_once(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1)]), "d", batch=("s", 0))
+    for number in (0, 1, 1, 0):
+        tables.write_partitions(spark, path, make(spark, [("b", number, D2)]), batch=("s", number))
+    tables.write_partitions(spark, path, make(spark, [("c", 7, D2)]), batch=("other", 0))
+    assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("b", 1, D2), ("c", 7, D2)]
+
+
+def test_upsert_appends_new_keys_and_rewrites_only_matched_dates(spark, path):
+    tables.create_table(spark, path, make(spark, [("a", 1, D1), ("b", 2, D2), ("m", 3, D1)]), "d")
+    before = {f for f in os.listdir(f"{path}/d=2025-09-20")}
+    out = tables.upsert_table(spark, path, make(spark, [("a", 10, D1), ("m", 30, D3), ("n", 4, D2), (None, 5, D2)]), "k")
+    assert out["replaced"] == [D1] and out["appended"] == [D2, D3]
+    assert before < set(os.listdir(f"{path}/d=2025-09-20"))
+    assert rows(tables.scan_table(spark, path)) == sorted(
+        [("a", 10, D1), ("b", 2, D2), ("m", 30, D3), ("n", 4, D2), (None, 5, D2)], key=repr)
 
 
 def test_replace_twice_equals_once(spark, path):
@@ -160,7 +248,7 @@ def test_recover_finishes_a_committed_write(spark, path):
     # Half done: the old partition was already moved out.
     os.makedirs(f"{path}/{tables.TRASH}/crashed", exist_ok=True)
     os.rename(f"{path}/d=2025-09-20", f"{path}/{tables.TRASH}/crashed/d=2025-09-20")
-    assert tables.table_exists(spark, path)  # runs recovery
+    assert tables.open_for_write(spark, path)  # runs recovery
     assert rows(tables.scan_table(spark, path)) == [("a", 1, D1), ("c", 3, D2)]
     assert not os.path.exists(f"{path}/{tables.STAGING}/crashed")
 
