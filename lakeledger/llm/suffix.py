@@ -67,7 +67,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     h = 8
     while True:
         tied = np.flatnonzero(~first | np.append(~first[1:], False))
-        if not len(tied):
+        if not len(tied) or h > n:  # past the end all is the same
             return sa
         at = sa[tied]
         pair = rank[at] * (n + 1) + rank[np.minimum(at + h, n)] + 1
