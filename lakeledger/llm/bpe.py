@@ -31,11 +31,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import share
+from lakeledger.llm.common import free_name, share
 
 LARGEST_VOCABULARY = 32 << 20
 #: Words held by a worker; the table starts anew when it is full.
-WORD_TABLE = 300_000
+WORD_TABLE = 200_000
+#: Pairs whose compatibility a worker remembers.
+PAIR_TABLE = 250_000
+#: Rows of one output batch.
+ROWS = 500
 #: One character that stands for the word end inside the automaton.
 END = "\x00"
 
@@ -80,7 +84,7 @@ class Vocabulary:
             self.left.append(order[a])
             self.right.append(order[b])
             self.pairs[order[a], order[b]] = k
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}
         self.text = [self._inner(t) for t in order]
         self.ids = [self.vocab[t] for t in order]
         # A token that its own merges would not make never comes out; the automaton leaves it out.
@@ -132,11 +136,12 @@ class Vocabulary:
                         return True
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self.table.get((a, b))
+        pair = a << 20 | b
+        known = self.table.get(pair)
         if known is None:
-            if len(self.table) > 2_000_000:
+            if len(self.table) >= PAIR_TABLE:
                 self.table.clear()
-            known = self.table[a, b] = self._compatible(a, b)
+            known = self.table[pair] = self._compatible(a, b)
         return known
 
     def encode_word(self, word: str) -> list[int]:
@@ -214,7 +219,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         vocabulary = shared().prepare()
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             cols = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
             for text in batch.column(batch.num_columns - 1):
                 found = list(vocabulary.entries(text.as_py() or ""))
@@ -235,7 +240,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *names])
 
     kept = [id_col, *[k for k in keep if k != id_col]]
-    rows = docs.select(*kept, F.col(text_col).alias("_text"))
+    rows = docs.select(*kept, F.col(text_col).alias(free_name(docs.columns)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     schema += ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_text
     return rows.mapInArrow(run, schema)
