@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeledger.session import scratch_dir
@@ -27,6 +27,14 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(columns: list[str], stem: str = "_text") -> str:
+    """A column name that is not taken (names match without case)."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage is
     cut, a lost executor loses nothing, and both sides of a later join are plain
@@ -37,6 +45,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, per_group: int, by: str, *ids: str) -> DataFrame:
+    """At most ``per_group`` rows of each value of ``by``: those with the smallest hashes of ``ids``. The values are few
+    (languages, labels). Group sizes are counted first, and a hash threshold lets about twice the wanted rows
+    through, so no task sorts a whole group."""
+    unit = 1 << 40
+    place = F.pmod(F.xxhash64(*ids), F.lit(unit))
+    sizes = rows.groupBy(by).agg(F.count("*").alias("_size"))
+    near = (rows.join(F.broadcast(sizes), by)
+            .filter(place < F.lit(2.0 * per_group * unit) / F.col("_size")).withColumn("_place", place))
+    order = Window.partitionBy(by).orderBy("_place", *ids)
+    return (near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_group)
+            .drop("_size", "_place", "_rank"))
+
+
 # --- bounded id filter -----------------------------------------------------------
 
 
