@@ -215,14 +215,15 @@ register("report_detail_products", O.with_ctes(
     for n in ("gold_freight", "gold_product", "gold_taxes")) + ") t")
 def report_no_branch(spark, sf):
     """Rows of every gold table in all, with branches chosen, and with no branch chosen (none)."""
-    out = []
+    out = None
     for name, build in (("gold_freight", _gold_freight), ("gold_product", _gold_product), ("gold_taxes", _gold_taxes)):
         gold = build(spark, sf)
-        chosen = R.filter_gold(gold, branches=O.BRANCHES).groupBy().agg(F.count("*").alias("com_filial"))
-        none = R.filter_gold(gold, branches=[]).groupBy().agg(F.count("*").alias("sem_filial"))
-        every = gold.groupBy().agg(F.count("*").alias("linhas"))
-        out.append(every.crossJoin(chosen).crossJoin(none).select(F.lit(name).alias("tabela"), "linhas", "com_filial", "sem_filial"))
-    return out[0].unionByName(out[1]).unionByName(out[2])
+        cols = ("linhas", "com_filial", "sem_filial")
+        parts = (gold, R.filter_gold(gold, branches=O.BRANCHES), R.filter_gold(gold, branches=[]))
+        for k, part in enumerate(parts):
+            marks = part.select(F.lit(name).alias("tabela"), *[F.lit(int(i == k)).alias(c) for i, c in enumerate(cols)])
+            out = marks if out is None else out.unionByName(marks)
+    return out.groupBy("tabela").agg(*[F.sum(c).alias(c) for c in cols])
 
 
 # --- step 4: maintenance operators on DataFrames -----------------------------
