@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeledger.session import scratch_dir
+from lakeledger.sources.tables import _FS
 
 SLICE_BYTES = 1 << 20
 #: Sorts after every real id: rows without an id are "later" than all others.
@@ -35,12 +36,25 @@ def free_name(columns: list[str], stem: str = "_text") -> str:
     return stem
 
 
+#: Scratch tables written by this process, oldest first; ``drop_scratch`` removes them.
+SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the scratch tables from number ``since`` on, but for the last ``keep``. Results that
+    still read them must have been written before."""
+    for path in SCRATCH[since:len(SCRATCH) - keep]:
+        _FS(spark, path).delete(path)
+    del SCRATCH[since:len(SCRATCH) - keep]
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage is
     cut, a lost executor loses nothing, and both sides of a later join are plain
     shuffles that adaptive execution can split."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    SCRATCH.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
