@@ -7,6 +7,7 @@ rows an Arrow batch holds.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -162,6 +163,16 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker process that is used again does not keep the most
+    that any task of it has held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row count, bytes, offsets) of consecutive rows of a string
     column, cut so that a slice holds about ``SLICE_BYTES``; null is empty."""
@@ -177,6 +188,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[i
         to = min(to, len(col))
         yield at, to - at, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
         at = to
+    give_back()
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):

@@ -18,10 +18,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import materialise, share
+from lakeledger.llm.common import bounded_sample, free_name, materialise, share
 from lakeledger.llm.ngrams import grams, lowered, slices
 
 PER_LANGUAGE = 500
@@ -147,8 +147,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on the bounded sample of ``docs`` (rows that pass ``where``)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (F.lit(True) if where is None else where).alias("use"))
     ids = rows.filter("use AND lang IS NOT NULL AND text IS NOT NULL").select("id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = materialise(ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language), "language-sample")
+    chosen = materialise(bounded_sample(ids, per_language, "lang", "id").withColumn("place", F.pmod(F.xxhash64("id"), F.lit(1 << 40))), "language-sample")
     texts = rows.filter("use").join(F.broadcast(chosen), ["id", "lang"]).dropDuplicates(["id", "lang"]).select("lang", "place", "text")
 
     def run(batches):
@@ -187,6 +186,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                                              names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
     rest = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
-    rows = docs.select(*rest, F.col(text_col).alias("_text"))
+    rows = docs.select(*rest, F.col(text_col).alias(free_name(docs.columns)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")

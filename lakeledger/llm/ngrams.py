@@ -7,7 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from lakeledger.llm.common import SLICE_BYTES, byte_values, mix, powers, prefix_hash
+from lakeledger.llm.common import byte_values, give_back, mix, powers, prefix_hash
+
+#: Characters handled together; every one makes a few n-grams.
+SLICE_CHARS = 1 << 18
 
 #: Bytes that stay: ASCII letters and digits and all bytes of other characters; the rest is one blank.
 _STAYS = np.zeros(256, bool)
@@ -38,14 +41,15 @@ def grams(data: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, list]]:
-    """(first row, texts) in pieces of about SLICE_BYTES."""
+    """(first row, texts) in pieces of about SLICE_CHARS."""
     held, size, first = [], 0, 0
     for i, t in enumerate(column):
         text = t.as_py()
         held.append(text)
         size += len(text or "")
-        if size >= SLICE_BYTES:
+        if size >= SLICE_CHARS:
             yield first, held
             held, size, first = [], 0, i + 1
     if held:
         yield first, held
+    give_back()

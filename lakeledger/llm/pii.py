@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import materialise, share
+from lakeledger.llm.common import bounded_sample, free_name, materialise, share
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
@@ -247,7 +247,8 @@ def fit(batch: list[list[list[int]]], labels: list[list[int]], rounds: int = 80,
 def labelled_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_documents: int = TRAIN_DOCUMENTS, n_sequences: int = TRAIN_SEQUENCES) -> DataFrame:
     """The small labelled table: (place, words, labels), at most ``n_sequences`` rows, by the hash of their words."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chosen = materialise(rows.filter("id IS NOT NULL").select("id").orderBy(F.xxhash64("id"), "id").limit(n_documents), "pii-sample")
+    ids = rows.filter("id IS NOT NULL").select("id", F.lit(0).alias("all"))
+    chosen = materialise(bounded_sample(ids, n_documents, "all", "id").select("id").distinct(), "pii-sample")
 
     def run(batches):
         for batch in batches:
@@ -330,7 +331,7 @@ def find(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFr
                                              names=[*batch.schema.names[:-1], "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
 
     made = ("n_email", "n_ip", "n_card", "n_phone", "base", "spans")
-    rows = docs.select(*[c for c in docs.columns if c not in made], F.col(text_col).alias("_text"))
+    rows = docs.select(*[c for c in docs.columns if c not in made], F.col(text_col).alias(free_name(docs.columns)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, schema + ", n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
 
@@ -352,5 +353,8 @@ def redact(docs: DataFrame, field: Field | None, text_col: str = "text") -> Data
             return "".join([*out, text[at:]])
         return texts.combine(spans, one)
 
-    found = find(docs.select("*", F.col(text_col).alias("_original")), field, "_original")
-    return found.withColumn(text_col, replaced(F.col(text_col), F.col("spans"))).select(docs.columns)
+    # Only ids of columns travel through ``find``: an input may have columns named like its results.
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    found = find(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), field, names[text_col])
+    found = found.withColumn(names[text_col], replaced(F.col(names[text_col]), F.col("spans")))
+    return found.select(*[F.col(n).alias(c) for c, n in names.items()])
