@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import materialise, share
+from lakeledger.llm.common import bounded_sample, free_name, materialise, share
 from lakeledger.llm.ngrams import grams, lowered, slices
 
 PER_LABEL = 3000
@@ -143,9 +143,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     marks = marks.groupBy("id").agg(F.max("label").alias("label"))
     if where is not None:
         marks = marks.filter(where(F.col("id")))
-    order = (F.xxhash64("id"), F.col("id"))
-    chosen = [marks.filter(F.col("label") == k).orderBy(*order).limit(per_label) for k in (0, 1)]
-    chosen = materialise(chosen[0].unionByName(chosen[1]), "toxicity-sample")  # at most 2 * per_label ids
+    marks = materialise(marks, "toxicity-labels")
+    chosen = materialise(bounded_sample(marks, per_label, "label", "id"), "toxicity-sample")  # at most 2 * per_label ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
     return materialise(texts.select("text", "label", F.xxhash64("id").alias("place")), "toxicity-texts")
 
@@ -154,11 +153,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     """``docs`` with a column of scores; all columns stay."""
     shared = share(docs.sparkSession, model)
 
+    rows = docs.drop(out) if out != text_col else docs.withColumnRenamed(text_col, free_name(docs.columns))
+    place = rows.columns.index(text_col) if out != text_col else docs.columns.index(text_col)
+
     def run(batches):
         for batch in batches:
-            found = [shared().scores(texts) for _, texts in slices(batch.column(batch.num_columns - 1))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate([np.empty(0), *found]))], names=[*batch.schema.names[:-1], out])
+            found = [shared().scores(texts) for _, texts in slices(batch.column(place))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.empty(0), *found]))], names=[*batch.schema.names, out])
 
-    rows = docs.withColumn(out, F.col(text_col))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != out) + f", `{out}` double"
-    return rows.select(*[c for c in rows.columns if c != out], out).mapInArrow(run, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + f", `{out}` double"
+    return rows.mapInArrow(run, schema)
