@@ -35,9 +35,9 @@ from lakeledger.llm.common import free_name, share
 
 LARGEST_VOCABULARY = 32 << 20
 #: Words held by a worker; the table starts anew when it is full.
-WORD_TABLE = 200_000
+WORD_TABLE = 150_000
 #: Pairs whose compatibility a worker remembers.
-PAIR_TABLE = 250_000
+PAIR_TABLE = 200_000
 #: Rows of one output batch.
 ROWS = 500
 #: One character that stands for the word end inside the automaton.
