@@ -245,10 +245,11 @@ def share(spark: SparkSession, value):
     return get
 
 
-def without(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
-    """Rows whose id is not among ``ids`` (a column of the same name); rows that a bounded bitmap
-    rules out do not move. Rows without an id stay."""
-    gone = materialise(ids.select(F.col(col).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "gone")
-    bitmap = materialise(id_filter(gone, "_gone"), "gone-bitmap")
-    maybe = filter_by(df, bitmap, col).join(gone, F.col(col) == F.col("_gone"), "left_anti")
-    return filter_by(df, bitmap, col, how="left_anti").unionByName(maybe)
+def without(df: DataFrame, rows: DataFrame, col: str, text_col: str = "text") -> DataFrame:
+    """Rows whose id and text are not among ``rows`` (a column of the same name, and text_hash); rows that a bounded
+    bitmap rules out do not move. A null id is an id like others."""
+    gone = materialise(rows.select(F.col(col).alias("_gone"), F.col("text_hash").alias("_hash")).distinct(), "gone")
+    bitmap = materialise(id_filter(gone, "_gone", "_hash"), "gone-bitmap")
+    key = (f"`{col}`", f"xxhash64(`{text_col}`)")
+    maybe = filter_by(df, bitmap, *key).join(gone, F.col(col).eqNullSafe(F.col("_gone")) & (F.xxhash64(text_col) == F.col("_hash")), "left_anti")
+    return filter_by(df, bitmap, *key, how="left_anti").unionByName(maybe)

@@ -126,9 +126,9 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", width: int = WINDOW, rarest: int = RAREST) -> DataFrame:
+                  item_text_col: str = "text", width: int = WINDOW, rarest: int = RAREST, by_text: bool = False) -> DataFrame:
     """One row per input row: the id, n_words, n_hit (words inside benchmark windows), n_items (items with
-    occurring windows), items (their ids as strings, sorted), contaminated."""
+    occurring windows), items (their ids as strings, sorted), contaminated; with ``by_text`` also text_hash (xxhash64 of the text)."""
     matches, phrases = find(docs, items, id_col, text_col, item_col, item_text_col, width, rarest)
     hits = matches.select("doc", "th", F.explode(F.array_distinct("hits.phrase")).alias("phrase"))
     named = (hits.join(phrases.select("phrase", "item"), "phrase").groupBy("doc", "th")
@@ -142,10 +142,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     joined = (filter_by(base, bitmap, "doc", "th").join(
         found.select(F.col("doc").alias("_d"), F.col("th").alias("_t"), "n_hit", "items"),
         F.col("doc").eqNullSafe(F.col("_d")) & F.col("th").eqNullSafe(F.col("_t")), "left")
-        .select("doc", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        .select("doc", "th", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                 F.coalesce("items", F.array().cast("array<string>")).alias("items")))
     rest = filter_by(base, bitmap, "doc", "th", how="left_anti").select(
-        "doc", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
+        "doc", "th", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
     return (joined.unionByName(rest)
             .select(F.col("doc").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
-                    (F.col("n_hit") > 0).alias("contaminated")))
+                    (F.col("n_hit") > 0).alias("contaminated"), *([F.col("th").alias("text_hash")] if by_text else [])))

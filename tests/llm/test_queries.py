@@ -122,6 +122,28 @@ def test_stages_keep_the_columns_and_pass_an_empty_table(spark):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
+def test_removing_stages_go_by_id_and_text(spark):
+    """A clean text stays beside a removed one of the same id; copies and passages without an id go."""
+    path, _, _, leak = fixture_folder(spark)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+
+    def table(rows):
+        return spark.createDataFrame([(d, t, "en", None, None if t is None else len(t)) for d, t in rows], docs.schema)
+
+    def near(seed, i):
+        return " ".join(f"edit{i}" if k == 20 * i else w for k, w in enumerate(prose(seed, 120)))
+    clean, other = " ".join(prose(41, 60)), " ".join(prose(42, 60))
+    rows = [(1, near(51, 0)), (2, near(51, 1)), (2, clean), (None, near(51, 2)), (None, other), (None, near(52, 0)), (None, near(52, 1)),
+            (None, near(52, 1)), (3, None), (None, None), (None, "")]
+    left = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, table(rows), path).collect()), key=repr)
+    family = [r for r in left if r[1] in (near(52, 0), near(52, 1))]
+    assert len(family) == 1
+    assert left == sorted([(1, near(51, 0)), (2, clean), (None, other), (3, None), (None, None), (None, ""), *family], key=repr)
+    rows = [(1, clean + " " + leak), (1, clean), (None, other + " " + leak), (None, other), (2, leak), (None, None), (3, "")]
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminated(spark, table(rows), path).collect()]
+    assert sorted(left, key=repr) == sorted([(1, clean), (None, other), (None, None), (3, "")], key=repr)
+
+
 def test_redacted_documents_count_their_characters(spark):
     path, *_ = fixture_folder(spark)
     out = corpus_pipeline.redacted(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
