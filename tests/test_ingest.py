@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from lakeledger.functions.dates import file_token
 from lakeledger.plans import gold as gold_jobs
 from lakeledger.plans import ingest as ingest_jobs

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from lakeledger.operators import gold as G
 from lakeledger.operators import maintenance as M
 from lakeledger.operators import reports as R

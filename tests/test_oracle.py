@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from lakeledger.operators import maintenance as M
 from lakeledger.registry import ORACLE, QUERIES
 from lakeledger.sources import tables

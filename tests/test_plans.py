@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from lakeledger import oracle as O
 from lakeledger.operators import maintenance as M
 from lakeledger.operators import reports as R

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from lakeledger.schemas import SOURCES
 from lakeledger.sources import tables
 from lakeledger.sources import testdata as TD
