@@ -170,14 +170,13 @@ def _unpack(value, kind="<i8", dim: int | None = None) -> np.ndarray:
     return out if dim is None else out.reshape(-1, dim)
 
 
-def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best by score, then by id."""
-    if len(score) > k:
-        edge = np.partition(score, len(score) - k)[len(score) - k]
-        at = np.flatnonzero(score >= edge)
-    else:
-        at = np.arange(len(score))
-    return at[np.lexsort((ids[at], -score[at]))[:k]]
+def _best(a: np.ndarray, r: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the (anchor, row) positions those of each anchor's k best rows by score, then by id."""
+    order = np.lexsort((ids[r], -points[a, r], a))
+    a, r = a[order], r[order]
+    first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+    place = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
+    return a[place < k], r[place < k]
 
 
 class Search:
@@ -347,18 +346,16 @@ def find(anchors: DataFrame, blocks: DataFrame, search: Search, k: int, same: bo
                 table = table.reshape(len(a_ids), -1, 4)
                 points = s.scores(_unpack(row["a_vectors"], s.kind, s.dim), _unpack(row["vectors"], s.kind, s.dim))
                 fits = ((a_labels[:, None] == labels) == same) & (a_ids[:, None] != ids)
-                out = [[], [], [], [], []]
-                for a, w in np.argwhere(table[:, :, 2] <= table[:, :, 3]):
-                    against, against_score, low, high = table[a, w]
-                    some = np.flatnonzero(fits[a] & (points[a] >= low) & (points[a] <= high))
-                    some = some[_best(points[a][some], ids[some], k)]
-                    for c, v in zip(out, (a_ids[a], ids[some], against, against_score, points[a][some])):
-                        c.append(np.broadcast_to(v, len(some)))
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["anchor", "id", "against", "against_score", "score"])
+                for w in range(table.shape[1]):
+                    inside = fits & (points >= table[:, w, 2, None]) & (points <= table[:, w, 3, None])
+                    if inside.any():
+                        a, r = _best(*np.nonzero(inside), points, ids, k)
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a_ids[a], ids[r], table[a, w, 0], table[a, w, 1], points[a, r])],
+                                                         names=["anchor", "id", "against", "against_score", "score"])
 
     chunks = materialise(anchors.select("id", "label", "vec", "windows").mapInArrow(reach, "leaf long, a_ids binary, a_labels binary, a_vectors binary, a_windows binary"), "reached")
-    return chunks.join(blocks, "leaf").drop("leaf").mapInArrow(score, FOUND)
+    # Never broadcast: a chunk that goes to many leaves looks small in its compressed file.
+    return chunks.hint("merge").join(blocks, "leaf").drop("leaf").mapInArrow(score, FOUND)
 
 
 def top(found: DataFrame, k: int) -> DataFrame:
