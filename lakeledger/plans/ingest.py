@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lakeledger.functions.dates import DateLike, as_date, sorted_dates
+from lakeledger.operators.maintenance import SPREAD, co_partitioned
 from lakeledger.schemas import SOURCES, Lake, SourceSpec
 from lakeledger.session import scratch_dir
 from lakeledger.sources import tables
@@ -38,7 +39,8 @@ def ingest(spark: SparkSession, lake: Lake, source: SourceSpec | str, day: DateL
     df = scan_csv(spark, path or daily_path(lake, spec, day), spec)
     target = lake.silver(spec)
     if not tables.open_for_write(spark, target):
-        tables.create_table(spark, target, df, spec.date_column, batch=batch)
+        buckets = (spec.key_column, spec.buckets) if spec.key_column and spec.buckets else None
+        tables.create_table(spark, target, df, spec.date_column, batch=batch, buckets=buckets)
         return {"source": spec.name, "day": day, "mode": "create"}
     if spec.append_only:
         out = tables.write_partitions(spark, target, df, replace=[day], append_others=True,
@@ -121,7 +123,8 @@ def _latest_rows(df, key: str):
         F.lit("upsert: source key matched more than once: "), F.col(key).cast("string")))).isNull())
     last = per_key.select(key, F.element_at("_f", -1)[FILE_DAY].alias(FILE_DAY),
                           F.when(F.size("_f") > 1, F.col("_f")[0]["_c"]).otherwise(1).cast("int").alias("_times"))
-    latest = df.join(last, [key, FILE_DAY]).withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+    # Both sides are plain shuffles, so a hot key is split (see ``co_partitioned``).
+    latest = co_partitioned(df, key).join(co_partitioned(last, key), [key, FILE_DAY, SPREAD]).withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
     return latest.select(*df.columns).unionByName(df.filter(F.col(key).isNull())).drop(FILE_DAY)
 
 

@@ -33,6 +33,7 @@ class SourceSpec:
     date_column: str
     key_column: str | None
     append_only: bool
+    buckets: int | None = None  # of the key, below the date: more for more rows a date (files of 128 MB and up)
     columns: tuple[tuple[str, T.DataType], ...] = field(default=())
 
     @property

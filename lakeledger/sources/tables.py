@@ -1,12 +1,13 @@
-"""Stored lake tables: Parquet folders partitioned by one DATE column.
+"""Stored lake tables: Parquet folders partitioned by one DATE column, and for keyed tables by a bucket of the key below it.
 
 Layout of a table at ``path``::
 
     path/_schema-<n>.json          column names and types; the highest n counts ("table exists" mark)
     path/<col>=<yyyy-mm-dd>/...    one folder per date, plain Spark Parquet files
+    path/<col>=<...>/key_bucket=<b>/...   the same of a table created with buckets: hash of the key modulo their number
     path/_staging/<id>/...         a write in progress (ignored by readers)
     path/_trash/<id>/...           replaced partitions, deleted after a commit
-    path/_applied/<stream>-<n>     the last batch of a stream that the table holds
+    path/_applied/<stream>-<n>     the last batch of a stream that the table holds, and the dates that it changed
 
 Any Parquet reader can read the table (``spark.read.parquet(path)``); folders
 starting with ``_`` are skipped by Spark's file listing.
@@ -34,7 +35,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,9 @@ TRASH = "_trash"
 COMMIT = "_COMMIT.json"
 RETIRED = "_RETIRED"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+BUCKET = "key_bucket"
+#: A table has at most this many buckets, so the buckets that a load touches are always few enough to broadcast.
+MOST_BUCKETS = 4096
 
 
 class TableNotFound(Exception):
@@ -135,6 +139,14 @@ def partition_dir(col: str, value: dt.date | None) -> str:
     return f"{col}={NULL_PARTITION if value is None else as_date(value).isoformat()}"
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def cell_dir(col: str, date: dt.date | None, bucket: int) -> str:
+    return f"{partition_dir(col, date)}/{BUCKET}={bucket}"
+
+
 def _parse_partition(col: str, name: str) -> tuple[bool, dt.date | None]:
     prefix = f"{col}="
     if not name.startswith(prefix):
@@ -203,17 +215,27 @@ def open_for_write(spark: SparkSession, path: str) -> bool:
     return table_exists(spark, path)
 
 
-def read_schema(spark: SparkSession, path: str) -> tuple[T.StructType, str]:
+def _meta(spark: SparkSession, path: str) -> dict:
     fs = _FS(spark, path)
     versions = _schema_versions(fs, path)
     if not versions:
         raise TableNotFound(path)
-    meta = json.loads(fs.read_text(f"{path}/{SCHEMA_PREFIX}{versions[-1]:08d}.json"))
+    return json.loads(fs.read_text(f"{path}/{SCHEMA_PREFIX}{versions[-1]:08d}.json"))
+
+
+def read_schema(spark: SparkSession, path: str) -> tuple[T.StructType, str]:
+    meta = _meta(spark, path)
     return T.StructType.fromJson(meta["schema"]), meta["partition_column"]
 
 
+def read_buckets(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    """(key column, number of buckets) of a table that has them."""
+    buckets = _meta(spark, path).get("buckets")
+    return tuple(buckets) if buckets else None
+
+
 def scan_table(spark: SparkSession, path: str, lo: dt.date | str | None = None,
-               hi: dt.date | str | None = None) -> DataFrame:
+               hi: dt.date | str | None = None, with_bucket: bool = False) -> DataFrame:
     """A stored table as a DataFrame, columns in table order.
 
     The schema comes from the table's own schema file, so no Parquet footer is
@@ -223,10 +245,12 @@ def scan_table(spark: SparkSession, path: str, lo: dt.date | str | None = None,
     With ``lo`` and/or ``hi`` only the dates in [lo, hi] are read, and only
     their folders are handed to Spark: the folder names come from one listing
     of the table root, so a one-day refresh of a table holding years of dates
-    lists the files of that day, not of every day.
+    lists the files of that day, not of every day. ``with_bucket`` adds the bucket
+    of a bucketed table as a column, on which Spark prunes folders too.
     """
     schema, col = read_schema(spark, path)
-    reader = spark.read.schema(schema).option("basePath", path)
+    shown = [*schema.fieldNames(), BUCKET] if with_bucket else schema.fieldNames()
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]) if with_bucket else schema).option("basePath", path)
     try:
         if lo is None and hi is None:
             df = reader.parquet(path)
@@ -246,7 +270,7 @@ def scan_table(spark: SparkSession, path: str, lo: dt.date | str | None = None,
         if e.getCondition() == "PATH_NOT_FOUND":
             raise TableNotFound(path) from e
         raise
-    return df.select(*schema.fieldNames())
+    return df.select(*shown)
 
 
 def _merged_schema(old: T.StructType | None, df: DataFrame) -> T.StructType:
@@ -257,8 +281,8 @@ def _merged_schema(old: T.StructType | None, df: DataFrame) -> T.StructType:
     return T.StructType(old.fields + extra)
 
 
-def _schema_text(schema: T.StructType, col: str) -> str:
-    return json.dumps({"schema": json.loads(schema.json()), "partition_column": col}, indent=1)
+def _schema_text(schema: T.StructType, col: str, buckets: tuple[str, int] | None) -> str:
+    return json.dumps({"schema": json.loads(schema.json()), "partition_column": col, "buckets": buckets}, indent=1)
 
 
 def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -275,8 +299,8 @@ def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _layout(df: DataFrame, col: str, rebalance: bool, sort_by: list[str] | None) -> DataFrame:
-    """Physical layout of a write.
+def _write_stage(df: DataFrame, stage: str, col: str, buckets: tuple[str, int] | None, rebalance: bool, sort_by: list[str] | None) -> None:
+    """Write ``df`` as partition folders under ``stage``.
 
     ``rebalance`` asks AQE to gather rows by date and then cut the result into
     partitions of the advisory size: a small date lands in one file, while a
@@ -284,25 +308,32 @@ def _layout(df: DataFrame, col: str, rebalance: bool, sort_by: list[str] | None)
     needs (never one giant task). Rows are sorted by date and keys inside each
     file, so min/max statistics let later scans skip row groups.
     """
+    parts = [col]
+    if buckets:
+        df, parts = df.withColumn(BUCKET, bucket_of(*buckets)), [col, BUCKET]
     if rebalance:
         df = df.hint("rebalance", col)
     if sort_by:
-        df = df.sortWithinPartitions(col, *sort_by)
-    return df
+        df = df.sortWithinPartitions(*parts, *sort_by)
+    df.write.mode("overwrite").partitionBy(*parts).parquet(stage)
 
 
 def create_table(spark: SparkSession, path: str, df: DataFrame, col: str,
-                 rebalance: bool = True, sort_by: list[str] | None = None, batch: tuple[str, int] | None = None) -> None:
+                 rebalance: bool = True, sort_by: list[str] | None = None, batch: tuple[str, int] | None = None,
+                 buckets: tuple[str, int] | None = None) -> None:
     """First load: the frame becomes the whole table. A path that already holds a
-    table, or date folders of one, is refused."""
+    table, or date folders of one, is refused. ``buckets`` (key column, number) adds a bucket of the key as
+    a second partition level: an upsert then reads and rewrites only the buckets of its keys."""
     fs = _FS(spark, path)
+    if buckets and not 1 <= buckets[1] <= MOST_BUCKETS:
+        raise ValueError(f"{buckets[1]} buckets: 1 to {MOST_BUCKETS} are possible")
     if open_for_write(spark, path):
         raise FileExistsError(f"a table already stands at {path}")
     stage_id, stage = _stage(path)
-    _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(stage)
-    names = list(_staged(fs, stage, col).values())
-    _commit(fs, path, stage_id, {"column": col, "replace": [], "append": names, "schema": _schema_text(df.schema, col),
-                                 "version": 1, "batch": batch})
+    _write_stage(df, stage, col, buckets, rebalance, sort_by)
+    staged = _staged(fs, stage, col)
+    _commit(fs, path, stage_id, {"column": col, "replace": [], "append": list(staged.values()), "schema": _schema_text(df.schema, col, buckets),
+                                 "version": 1, "batch": batch, "dates": _iso(staged)})
 
 
 def _stage(path: str) -> tuple[str, str]:
@@ -333,10 +364,25 @@ def applied(spark: SparkSession, path: str, batch: tuple[str, int] | None) -> bo
     return bool(done) and batch[1] <= max(done)
 
 
+def _iso(dates: Iterable[dt.date | None]) -> list[str | None]:
+    return [None if d is None else d.isoformat() for d in sorted(dates, key=_sort_key)]
+
+
+def changed_dates(spark: SparkSession, path: str, batch: tuple[str, int]) -> list[dt.date | None]:
+    """The dates that the last commit of a stream's batch changed: replaced, appended to, or left by rows that moved. They are recorded with
+    the commit, so whoever follows the table still learns them after a crash behind it. Empty for a batch that changed nothing
+    or is not the stream's last."""
+    fs = _FS(spark, path)
+    name = f"{path}/{APPLIED}/{batch[0]}-{batch[1]}"
+    text = fs.read_text(name) if fs.exists(name) else ""
+    return [None if d is None else as_date(d) for d in json.loads(text or "[]")]
+
+
 def write_partitions(spark: SparkSession, path: str, df: DataFrame,
                      replace: Iterable[dt.date | None] = (), append_others: bool = True,
                      rebalance: bool = True, sort_by: list[str] | None = None,
-                     count_appended: bool = False, batch: tuple[str, int] | None = None) -> dict:
+                     count_appended: bool = False, batch: tuple[str, int] | None = None,
+                     cells: Iterable[tuple[dt.date | None, int]] = ()) -> dict:
     """Write ``df`` into the table in one Spark job.
 
     Each date in ``replace`` ends up holding exactly the frame's rows of that
@@ -347,7 +393,8 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
     (``appended_rows``), counted from the staged files before the commit --
     a second small job, run only when some date was appended to.
     ``batch`` (stream name, number) is recorded with the commit; a batch that the
-    table already holds is not applied again.
+    table already holds is not applied again. ``cells`` are (date, bucket) pairs of a bucketed
+    table that are replaced one by one, as ``replace`` replaces whole dates.
     """
     recover(spark, path)
     if applied(spark, path, batch):
@@ -360,28 +407,38 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
         df = df.filter(_date_filter(col, replace))
 
     fs = _FS(spark, path)
+    buckets = read_buckets(spark, path)
     stage_id, stage = _stage(path)
-    _layout(df, col, rebalance, sort_by).write.mode("overwrite").partitionBy(col).parquet(stage)
+    _write_stage(df, stage, col, buckets, rebalance, sort_by)
     staged = _staged(fs, stage, col)
-    appended = [d for d in staged if d not in replace]
+    cells = {cell_dir(col, *c): c[0] for c in cells}
+    others = {d: name for d, name in staged.items() if d not in replace}
+    if buckets:
+        # In a bucketed table rows are appended bucket by bucket, beside those that are replaced.
+        leaves = {f"{name}/{b}": d for d, name in others.items() for b, is_dir in fs.children(f"{stage}/{name}") if is_dir and b.startswith(f"{BUCKET}=")}
+        append = {leaf: d for leaf, d in leaves.items() if leaf not in cells}
+    else:
+        append = {name: d for d, name in others.items()}
+    appended = set(append.values())
     appended_rows = None
     if count_appended:
         appended_rows = {}
         if appended:
-            dirs = [f"{stage}/{staged[d]}" for d in appended]
-            counted = (spark.read.schema(new_schema).option("basePath", stage).parquet(*dirs)
+            counted = (spark.read.schema(new_schema).option("basePath", stage).parquet(*[f"{stage}/{name}" for name in append])
                        .groupBy(col).count().collect())
             appended_rows = {r[0]: r[1] for r in counted}
+    replaced = replace | set(cells.values())
     commit = {
         "column": col,
-        "replace": [partition_dir(col, d) for d in replace],
-        "append": [partition_dir(col, d) for d in appended],
+        "replace": [partition_dir(col, d) for d in replace] + list(cells),
+        "append": list(append),
         "batch": batch,
+        "dates": _iso(replaced | appended),
     }
     if new_schema != schema:
-        commit |= {"schema": _schema_text(new_schema, col), "version": _schema_versions(fs, path)[-1] + 1}
+        commit |= {"schema": _schema_text(new_schema, col, buckets), "version": _schema_versions(fs, path)[-1] + 1}
     _commit(fs, path, stage_id, commit)
-    out = {"replaced": sorted(replace, key=_sort_key), "appended": sorted(appended, key=_sort_key)}
+    out = {"replaced": sorted(replaced, key=_sort_key), "appended": sorted(appended, key=_sort_key)}
     if appended_rows is not None:
         out["appended_rows"] = appended_rows
     return out
@@ -416,14 +473,15 @@ def _finish(fs: _FS, path: str, stage_id: str) -> None:
         if fs.exists(f"{stage}/{name}"):
             fs.rename(f"{stage}/{name}", f"{path}/{name}")
 
-    def move_files(name: str) -> None:
+    def moves(name: str) -> list[tuple[str, str]]:
+        """What is renamed to append a folder: all of it where the table has none, else file by file."""
         src = f"{stage}/{name}"
-        if not fs.exists(f"{path}/{name}"):  # a date new to the table: one rename
-            install(name)
-            return
-        for fname, is_dir in fs.children(src):
-            if not is_dir and not fname.startswith((".", "_")):
-                fs.rename(f"{src}/{fname}", f"{path}/{name}/{fname}")
+        if not fs.exists(f"{path}/{name}"):
+            return [(src, f"{path}/{name}")] if fs.exists(src) else []
+        names = [n for n, _ in fs.children(src) if not n.startswith((".", "_"))]
+        if names and all(n.startswith(f"{BUCKET}=") for n in names):
+            return [m for n in names for m in moves(f"{name}/{n}")]
+        return [(f"{src}/{n}", f"{path}/{name}/{n}") for n in names]
 
     # The schema goes in first where the table has one (older rows read a new
     # column as NULL); a first load gets it last, so that a table with a schema is whole.
@@ -441,12 +499,15 @@ def _finish(fs: _FS, path: str, stage_id: str) -> None:
         fs.write_text(f"{stage}/{RETIRED}", "")
     # Phase 2: install the new partitions and move appended files in.
     _each(install, commit["replace"])
-    _each(move_files, commit["append"])
+    _each(lambda m: fs.rename(*m), [m for part in _each(moves, commit["append"]) for m in part])
+    for date in {name.split("/")[0] for name in commit["replace"] if "/" in name}:
+        if not fs.children(f"{path}/{date}"):  # all its buckets are empty now
+            fs.delete(f"{path}/{date}")
     put_schema()
     if commit.get("batch"):
         stream, number = commit["batch"]
         old = [n for n, _ in fs.children(f"{path}/{APPLIED}") if n.rsplit("-", 1)[0] == stream]
-        fs.write_text(f"{path}/{APPLIED}/{stream}-{number}", "")
+        fs.write_text(f"{path}/{APPLIED}/{stream}-{number}", json.dumps(commit.get("dates", [])))
         for name in old:
             if int(name.rsplit("-", 1)[1]) < number:
                 fs.delete(f"{path}/{APPLIED}/{name}")
@@ -457,13 +518,11 @@ def _finish(fs: _FS, path: str, stage_id: str) -> None:
 RENAME_THREADS = 16
 
 
-def _each(fn, names: list[str]) -> None:
+def _each(fn, names: list) -> list:
     if len(names) <= 1:
-        for n in names:
-            fn(n)
-        return
+        return [fn(n) for n in names]
     with ThreadPoolExecutor(max_workers=min(RENAME_THREADS, len(names))) as pool:
-        list(pool.map(fn, names))
+        return list(pool.map(fn, names))
 
 
 def recover(spark: SparkSession, path: str) -> None:
@@ -480,14 +539,30 @@ def recover(spark: SparkSession, path: str) -> None:
         fs.delete(f"{path}/{TRASH}/{stage_id}")
 
 
+SIGN = "_sinal"
+
+
+def touched_keys(spark: SparkSession, path: str, source: DataFrame, key: str) -> DataFrame:
+    """(key, date[, bucket]) of every stored row. Of a bucketed table only the buckets of the source's keys
+    are read: their numbers, at most as many as the table has, prune the table's folders when the query runs."""
+    _, col = read_schema(spark, path)
+    buckets = read_buckets(spark, path)
+    if not buckets or buckets[0] != key:
+        return scan_table(spark, path).select(key, col).filter(F.col(key).isNotNull())
+    # A comparison on the small side is what makes the planner prune dynamically; it holds for every bucket.
+    mine = source.filter(F.col(key).isNotNull()).select(bucket_of(*buckets).alias(BUCKET)).distinct().filter(F.col(BUCKET) >= 0)
+    return (scan_table(spark, path, with_bucket=True).select(key, col, BUCKET).join(F.broadcast(mine), BUCKET, "left_semi")
+            .filter(F.col(key).isNotNull()).select(key, col, BUCKET))
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str,
-                 batch: tuple[str, int] | None = None, stored: bool = False) -> dict:
+                 batch: tuple[str, int] | None = None, stored: bool = False, changes: str | None = None) -> dict:
     """Update every column of target rows whose key is in ``source``, insert
-    the other source rows; only dates that hold a matched row are rewritten.
+    the other source rows; only dates that hold a matched row are rewritten, of a bucketed table only their buckets with one.
 
-    Pass 1 reads just (key, date) of the table and joins it with the source's
-    per-key counts: that yields the matched keys and their dates, and fails the
-    job if a matched key occurs twice in the source. Pass 2 rewrites those dates
+    Pass 1 reads just (key, date) of the table, in the source's buckets (``touched_keys``), and joins it with the source's
+    per-key counts: that yields the matched keys and their places, and fails the
+    job if a matched key occurs twice in the source. Pass 2 rewrites those places
     (only their folders are read): each matched row takes the source values. Source rows without
     a match are appended to their dates, as are rows whose date changed to one
     that is not rewritten. Extra source columns are dropped (no schema
@@ -496,35 +571,45 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str,
     Both passes read the source, so it is first written once as Parquet under the
     shared checkpoint folder (one parse of the day's CSV, lineage cut there) and deleted when
     the upsert is done; ``stored`` says that the caller has done that.
+
+    ``changes`` names a folder for the rows that the upsert takes out (column ``_sinal`` -1) and brings in (+1), written before the commit.
     """
     recover(spark, path)
     if applied(spark, path, batch):
         return {"replaced": [], "appended": [], "skipped": True}
     target = scan_table(spark, path)
     schema, col = read_schema(spark, path)
+    buckets = read_buckets(spark, path)
+    place = [col, BUCKET] if buckets and buckets[0] == key else [col]
     conformed = conform(source, target)
     work = scratch_dir(spark, "upsert")
     try:
         if not stored:
             conformed.write.parquet(f"{work}/source")
             conformed = spark.read.schema(conformed.schema).parquet(f"{work}/source")
-        hits = co_partitioned(target.select(key, col).filter(F.col(key).isNotNull()), key).join(
+        hits = co_partitioned(touched_keys(spark, path, conformed, key), key).join(
             co_partitioned(source_key_counts(conformed, key), key), [key, SPREAD], "inner")
         # The check names a column of each side, so the optimizer cannot evaluate
         # it below the join, i.e. on source keys that match nothing.
         hits = hits.filter(F.when(F.col("_n") > 1, F.raise_error(F.concat(
             F.lit("upsert: source key matched more than once: "), F.col(key).cast("string"),
             F.lit(" (target date "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")), F.lit(")")))).isNull())
-        matched = hits.select(key, col).distinct()
+        matched = hits.select(key, *place).distinct()
         matched.write.parquet(f"{work}/matched")
         matched = spark.read.schema(matched.schema).parquet(f"{work}/matched")
-        # Bounded by the number of distinct dates: partition metadata, not data.
-        dates = [r[0] for r in matched.select(col).distinct().collect()]
-        dirs = [f"{path}/{partition_dir(col, d)}" for d in dates]
+        # Bounded by the number of folders: partition metadata, not data.
+        places = [tuple(r) for r in matched.select(*place).distinct().collect()]
+        dirs = [f"{path}/{cell_dir(col, *p) if len(p) > 1 else partition_dir(col, *p)}" for p in places]
         old = (spark.read.schema(schema).option("basePath", path).parquet(*dirs).select(*schema.fieldNames())
                if dirs else spark.createDataFrame([], schema))
         new = without_keys(conformed, matched.select(key).distinct(), key)
+        if changes:
+            gone = co_partitioned(old, key).join(co_partitioned(matched.select(key).distinct(), key), [key, SPREAD], "left_semi").select(*old.columns)
+            come = update_matched(gone, conformed, key).unionByName(new)
+            gone.withColumn(SIGN, F.lit(-1)).unionByName(come.withColumn(SIGN, F.lit(1))).write.mode("overwrite").parquet(changes)
         rows = update_matched(old, conformed, key).unionByName(new)
-        return write_partitions(spark, path, rows, replace=dates, append_others=True, batch=batch)
+        if len(place) > 1:
+            return write_partitions(spark, path, rows, cells=places, batch=batch)
+        return write_partitions(spark, path, rows, replace=[p[0] for p in places], append_others=True, batch=batch)
     finally:
         _FS(spark, work).delete(work)
