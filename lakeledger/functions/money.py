@@ -7,7 +7,7 @@ All helpers are built-in expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,17 +15,24 @@ from lakeledger.schemas import MONEY
 
 # Room for a sum over any number of amounts.
 WIDE_MONEY = T.DecimalType(38, 4)
+# What amounts of another type are compared in.
+FINE = T.DecimalType(38, 18)
 
 
-def as_money(col: str | Column) -> Column:
-    """A money column as DECIMAL(20,4) (no-op when it already is)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(MONEY)
+def as_money(df: DataFrame, col: str) -> Column:
+    """A column of ``df`` as MONEY. Nothing is rounded: an amount of another type that MONEY cannot hold exactly fails the job."""
+    c = F.col(col)
+    if any(f.name.lower() == col.lower() and f.dataType == MONEY for f in df.schema.fields):
+        return c
+    lost = F.raise_error(F.concat(F.lit(f"{col}: more than {MONEY.scale} decimals: "), c.cast("string")))
+    # A DOUBLE below what FINE resolves is not zero, though its cast is.
+    gone = (c.cast(FINE) != c.cast(MONEY).cast(FINE)) | ((c != 0) & (c.cast(FINE) == 0))
+    return F.when(gone, lost.cast(MONEY)).otherwise(c.cast(MONEY))
 
 
-def money_sum(col: str | Column) -> Column:
+def money_sum(df: DataFrame, col: str) -> Column:
     """Exact sum of a money column (DECIMAL result, NULL for an all-NULL group)."""
-    return F.sum(as_money(col))
+    return F.sum(as_money(df, col))
 
 
 def rounded_double(amount: Column, places: int) -> Column:

@@ -63,6 +63,8 @@ def source_key_counts(source: DataFrame, key: str) -> DataFrame:
 
 
 SPREAD = "_spread"
+#: Column of a change set: -1 for a row that leaves, +1 for one that comes.
+SIGN = "_sinal"
 
 
 def co_partitioned(df: DataFrame, key: str) -> DataFrame:

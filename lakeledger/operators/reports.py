@@ -10,6 +10,7 @@ meant to leave the cluster.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -73,17 +74,57 @@ def report_series(df: DataFrame, spec: ReportSpec, **filters) -> DataFrame:
 
     An all-NULL group sums to 0, as a chart of the series would show it.
     """
+    return _series(filter_gold(df, **filters), spec).orderBy("CodigoData", "FilialId")
+
+
+def _series(rows: DataFrame, spec: ReportSpec) -> DataFrame:
     m = spec.measure
     if spec.exact_decimal:
         total = exact_double_sum(m, zero_if_empty=True)
     else:
         total = F.coalesce(F.sum(m), F.lit(0).cast("bigint"))
-    return (
-        filter_gold(df, **filters)
-        .groupBy("CodigoData", "FilialId")
-        .agg(total.alias(m))
-        .orderBy("CodigoData", "FilialId")
-    )
+    return rows.groupBy("CodigoData", "FilialId").agg(total.alias(m))
+
+
+def chosen_series(df: DataFrame, spec: ReportSpec, branches: DataFrame, dates: DataFrame) -> DataFrame:
+    """The series of the branches (column FilialId) and dates (column CodigoData) that two tables list, however long the lists are.
+
+    Both are semi-joins, so a choice that stands twice counts once and a NULL chooses nothing. Where a list is small enough to broadcast (the
+    planner's check), its dates prune the folders of a stored gold table when the query runs.
+    """
+    # A comparison on the list is what makes the planner prune dynamically; it holds for every date.
+    days = dates.select("CodigoData").filter(F.col("CodigoData") >= F.lit(dt.date(1, 1, 1))).distinct()
+    chosen = df.join(days, "CodigoData", "left_semi").join(branches.select("FilialId").distinct(), "FilialId", "left_semi")
+    return _series(chosen, spec).orderBy("CodigoData", "FilialId")
+
+
+def detail_pages(df: DataFrame, keys: list[str], rows: int, **filters) -> Iterator[DataFrame]:
+    """The filtered gold rows in key order, ``rows`` at a time. ``keys`` identify a row.
+
+    A page begins behind the last key of the one before: a predicate, not an offset, so no page reads what the earlier
+    ones showed, and on a stored table its first key prunes folders and row groups. Only that one key reaches the driver.
+    """
+    chosen = filter_gold(df, **filters)
+    at: tuple | None = None
+    while True:
+        page = (chosen if at is None else chosen.filter(_behind(keys, at))).orderBy(*keys).limit(rows)
+        n, last = page.agg(F.count("*"), F.max(F.struct(*keys))).first()
+        if n:
+            yield page
+        if n < rows:
+            return
+        at = tuple(last)
+
+
+def _behind(keys: list[str], at: tuple):
+    """Rows after the key ``at`` in key order (NULL first)."""
+    out = F.lit(False)
+    for k, v in reversed(list(zip(keys, at))):
+        more = F.col(k).isNotNull() if v is None else F.col(k) > F.lit(v)
+        out = more | (F.col(k).eqNullSafe(F.lit(v)) & out)
+    first = F.col(keys[0])
+    # Implied by the rest, but a form that reaches the scan.
+    return out if at[0] is None else (first >= F.lit(at[0])) & out
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -27,7 +27,7 @@ SILVER = {
     "vendas": f"""
 SELECT {_MONTH} AS data_venda, {_PRODUCT} AS produto_id, n_name AS filial_id,
        CAST(l_quantity AS INT) AS quantidade,
-       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) AS valor_unitario
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS valor_unitario
 FROM {_BRANCH}""",
     "estoque": f"""
 SELECT {_PRODUCT} AS produto_id, n_name AS filial_id,
@@ -44,7 +44,7 @@ WHERE l_returnflag = 'R'""",
     "frete": f"""
 SELECT {_ORDER_LINE} AS pedido_id,
        CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
-            AS DECIMAL(20,4)) AS valor_frete,
+            AS DECIMAL(18,4)) AS valor_frete,
        {_MONTH} AS data_envio,
        CASE l_linenumber % 4 WHEN 0 THEN 'Correios' WHEN 1 THEN 'JadLog' WHEN 2 THEN 'Loggi'
             ELSE 'Mandae' END AS transportadora,
@@ -56,7 +56,7 @@ SELECT {_MONTH} AS data_pagamento,
             WHEN 3 THEN 'COFINS' WHEN 4 THEN 'IRPJ' WHEN 5 THEN 'CSLL' WHEN 6 THEN 'INSS'
             ELSE 'IPI' END AS tipo_imposto,
        CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                  * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(20,4)) AS valor_pago,
+                  * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(18,4)) AS valor_pago,
        n_name AS filial_id
 FROM {_BRANCH}""",
 }

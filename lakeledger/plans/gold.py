@@ -52,14 +52,58 @@ def _write_layout(spec: GoldSpec) -> dict:
     return {"rebalance": True, "sort_by": [k for k in spec.keys if k != spec.date_column]}
 
 
-def build(spark: SparkSession, lake: Lake, name: GoldSpec | str) -> dict:
+def build(spark: SparkSession, lake: Lake, name: GoldSpec | str, batch: tuple[str, int] | None = None) -> dict:
     """First load: the gold table from the whole silver history."""
     spec = _spec(name)
     df = gold_frame(spark, spec, silver_inputs(spark, lake, spec))
-    tables.create_table(spark, lake.gold(spec), df, spec.date_column, **_write_layout(spec))
+    tables.create_table(spark, lake.gold(spec), df, spec.date_column, batch=batch, **_write_layout(spec))
     return {"gold": spec.name, "mode": "create"}
 
 
+def missing_inputs(spark: SparkSession, lake: Lake, name: GoldSpec | str, day: DateLike | None = None) -> list[str]:
+    """Silver inputs of a gold table that have not arrived: no table yet or, given a day, no rows of that day
+    (a listing, no data is read)."""
+    out = []
+    for source in _spec(name).inputs:
+        src, path = SOURCES[source], lake.silver(source)
+        if not tables.table_exists(spark, path) or (day is not None and as_date(day) not in tables.list_partitions(spark, path, src.date_column)):
+            out.append(source)
+    return out
+
+
+def refresh_dates(spark: SparkSession, lake: Lake, name: GoldSpec | str, dates: list,
+                  batch: tuple[str, int] | None = None) -> dict:
+    """Bring several dates (NULL may be one) of a gold table up to date in one job; a table that does not exist is built from the
+    whole history. The dates end up as the silver tables have them, however often this runs."""
+    spec = _spec(name)
+    path = lake.gold(spec)
+    if not tables.open_for_write(spark, path):
+        return build(spark, lake, spec, batch=batch)
+    inputs = {n: tables.scan_dates(spark, lake.silver(SOURCES[n]), dates) for n in spec.inputs}
+    out = tables.replace_dates(spark, path, gold_frame(spark, spec, inputs), dates, batch=batch, **_write_layout(spec))
+    return {"gold": spec.name, "mode": "replace", **out}
+
+
+def follow(spark: SparkSession, lake: Lake, batch: tuple[str, int]) -> list[dict]:
+    """Bring gold up to date with what a stream's batch changed in silver.
+
+    The change set is read from the records of the silver commits: the dates replaced, appended to, and left
+    by rows that an upsert moved. So a batch that is run again after a crash, and finds its silver rows loaded, still refreshes
+    the dates that they touched; gold dates are replaced, and a gold table that holds the batch skips it. A gold table one of whose inputs has
+    no table yet is left for the batch that brings it.
+    """
+    touched = {n: {d for b in (batch, (f"{batch[0]}.first", batch[1])) for d in tables.changed_dates(spark, lake.silver(s), b)}
+               for n, s in SOURCES.items()}
+
+    def one(spec: GoldSpec) -> dict | None:
+        dates = sorted(set().union(*(touched[n] for n in spec.inputs)), key=lambda d: (d is None, str(d)))
+        if not dates or missing_inputs(spark, lake, spec):
+            return None
+        return refresh_dates(spark, lake, spec, dates, batch=batch)
+    with ThreadPoolExecutor(max_workers=len(GOLDS)) as pool:
+        return [r for r in pool.map(one, GOLDS.values()) if r]
+
+
 def refresh(spark: SparkSession, lake: Lake, name: GoldSpec | str, day: DateLike) -> dict:
     """Bring one processing date of a gold table up to date (S-12)."""
     spec, day = _spec(name), as_date(day)

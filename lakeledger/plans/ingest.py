@@ -33,10 +33,11 @@ def _spec(source: SourceSpec | str) -> SourceSpec:
 
 
 def ingest(spark: SparkSession, lake: Lake, source: SourceSpec | str, day: DateLike,
-           path: str | None = None, batch: tuple[str, int] | None = None) -> dict:
-    """Load the daily file of ``source`` for ``day`` into its silver table."""
+           path: str | None = None, batch: tuple[str, int] | None = None, infer: bool = False) -> dict:
+    """Load the daily file of ``source`` for ``day`` into its silver table. With ``infer`` undeclared columns get inferred
+    types, which may widen those that the table has."""
     spec, day = _spec(source), as_date(day)
-    df = scan_csv(spark, path or daily_path(lake, spec, day), spec)
+    df = scan_csv(spark, path or daily_path(lake, spec, day), spec, infer=infer)
     target = lake.silver(spec)
     if not tables.open_for_write(spark, target):
         buckets = (spec.key_column, spec.buckets) if spec.key_column and spec.buckets else None
@@ -44,7 +45,7 @@ def ingest(spark: SparkSession, lake: Lake, source: SourceSpec | str, day: DateL
         return {"source": spec.name, "day": day, "mode": "create"}
     if spec.append_only:
         out = tables.write_partitions(spark, target, df, replace=[day], append_others=True,
-                                      count_appended=True, batch=batch)
+                                      count_appended=True, batch=batch, widen=infer)
         mode = "replace"
     else:
         out = tables.upsert_table(spark, target, df, spec.key_column, batch=batch)

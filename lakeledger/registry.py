@@ -103,7 +103,7 @@ def ticket_zero_units(spark, sf):
 # Freight charged to the hundredth of a cent: price times discount, not rounded per row.
 _FINE = O.SILVER["frete"].replace(
     """CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
-            AS DECIMAL(20,4))""", "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(20,4))")
+            AS DECIMAL(18,4))""", "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4))")
 
 
 @register("gold_freight_subcent", O.with_ctes(
@@ -117,8 +117,8 @@ def gold_freight_subcent(spark, sf):
 
 @register("ticket_subcent", O.with_ctes(O.agg_sales_sql("vendas_finas", scale=10000), extra={
     "vendas_finas": O.SILVER["vendas"].replace(
-        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(20,4))",
-        "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(20,4))")}))
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,4))",
+        "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4))")}))
 def ticket_subcent(spark, sf):
     """The sales summary of amounts with four decimals: value and ticket rounded once, at the end."""
     fine = TD.vendas(spark, sf, fine=True)
@@ -257,7 +257,7 @@ def append_rows(spark, sf):
        CASE WHEN data_venda >= {_D} THEN n_name END AS canal
 FROM (SELECT {O._MONTH} AS data_venda, {O._PRODUCT} AS produto_id, n_name AS filial_id,
              CAST(l_quantity AS INT) AS quantidade,
-             CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) AS valor_unitario, n_name
+             CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS valor_unitario, n_name
       FROM {O._BRANCH}) x"""))
 def append_evolve(spark, sf):
     """An older table without the price column, then rows that bring the price

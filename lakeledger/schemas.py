@@ -10,8 +10,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-#: Amounts keep four decimals, as the gold totals do; nothing is rounded before a sum.
-MONEY = T.DecimalType(20, 4)
+#: Amounts keep four decimals, as the gold totals do; nothing is rounded before a sum. With 18 digits Spark
+#: computes in 64-bit numbers; an amount of 10**14 or more fails on load.
+MONEY = T.DecimalType(18, 4)
 
 # ---------------------------------------------------------------------------
 # Source systems, silver tables and gold tables of the lake.

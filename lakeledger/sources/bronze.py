@@ -8,7 +8,7 @@ line of every part file is read (one small read per file, no Spark job), part fi
 by header, each group becomes one CSV scan with an all-STRING schema, and the
 groups are unioned by name. Part files of zero length are skipped. Declared columns are then cast to their types
 (ANSI casts: a bad value fails the job instead of becoming NULL, and so does an amount with more
-decimals than money holds), declared columns a file lacks read as NULL, and extra columns are kept as STRING.
+decimals than money holds), declared columns a file lacks read as NULL, and extra columns are kept as STRING or get inferred types.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from lakeledger.functions.dates import DateLike, as_date, file_token
 from lakeledger.schemas import MONEY, Lake, SourceSpec
+from lakeledger.sources.infer import inferred_types, with_types
 from lakeledger.sources.tables import _FS
 
 
@@ -69,8 +70,9 @@ HEADER_READERS = 16
 
 
 def scan_csv(spark: SparkSession, paths: str | Iterable[str], spec: SourceSpec,
-             with_file_day: bool = False) -> DataFrame:
-    """Typed rows of one or more daily files of ``spec``.
+             with_file_day: bool = False, infer: bool = False) -> DataFrame:
+    """Typed rows of one or more daily files of ``spec``. With ``infer`` the columns that ``spec`` does not declare get the
+    narrowest type that takes all their texts, over all the files (see ``infer``; one aggregate, only if there are any).
 
     Missing paths are an error, as in a plain ``spark.read.csv``. A file with
     only a header gives no rows but the declared types. ``with_file_day`` adds
@@ -102,6 +104,9 @@ def scan_csv(spark: SparkSession, paths: str | Iterable[str], spec: SourceSpec,
         raw = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType())
                                                       for c in spec.column_names]))
     out = typed(raw, spec)
+    if infer:
+        declared = {c.lower() for c in (*spec.column_names, FILE_DAY)}
+        out = with_types(out, inferred_types(out, [c for c in out.columns if c.lower() not in declared]))
     if with_file_day and FILE_DAY not in out.columns:
         out = out.withColumn(FILE_DAY, F.lit(None).cast(T.DateType()))
     return out
@@ -128,24 +133,29 @@ def typed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
 
 def exact_money(text, name: str):
     """Text as money; an amount with more decimals than money holds fails instead of being rounded."""
-    wide = text.cast(T.DecimalType(38, 18))
     lost = F.raise_error(F.concat(F.lit(f"{name}: more than {MONEY.scale} decimals: "), text))
-    return F.when(wide != wide.cast(MONEY), lost.cast(MONEY)).otherwise(wide.cast(MONEY))
+    # Decided on the digits as written: the places behind the point, without zeros at the end, less the exponent.
+    places = F.length(F.regexp_extract(text, r"\.(\d*[1-9])0*(?:[eE]|$)", 1))
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?\d{1,6})$", 1).try_cast("int"), F.lit(0))
+    ends = F.length(F.regexp_extract(text, r"(0*)(?:\.0*)?(?:[eE]|$)", 1))  # zeros before the point make up for a negative exponent
+    some = text.rlike(r"^[^eE]*[1-9]")
+    over = some & (F.when(places > 0, places).otherwise(-ends) - exponent > MONEY.scale)
+    return F.when(over, lost.cast(MONEY)).otherwise(text.cast(MONEY))
 
 
 def export_daily(spark: SparkSession, df: DataFrame, lake: Lake, spec: SourceSpec) -> list:
     """Write ``df`` as one daily CSV (a folder of part files) per date.
 
     One Spark job writes every date under a staging folder of its own; each date's folder
-    is then renamed to the daily file name. Rows without a date belong to no daily file
-    and are refused before anything is written. Returns the dates written.
+    is then renamed to the daily file name. Rows without a date belong to no daily file: they
+    fail the job that writes the staging folder, so no daily file changes. Returns the dates written.
     """
-    if not df.filter(F.col(spec.date_column).isNull()).isEmpty():
-        raise ValueError(f"{spec.name}: rows without {spec.date_column} belong to no daily file")
+    day = F.col(spec.date_column)
+    dated = F.when(day.isNull(), F.raise_error(F.lit(f"{spec.name}: rows without {spec.date_column} belong to no daily file")).cast("date")).otherwise(day)
     fs = _FS(spark, lake.root)
     base = lake.bronze_dir(spec)
     stage = f"{base}/_export-{uuid.uuid4().hex[:12]}"
-    (df.withColumn("_dia", F.col(spec.date_column)).hint("rebalance", "_dia")
+    (df.withColumn("_dia", dated).hint("rebalance", "_dia")
        .write.mode("overwrite").option("header", True)
        .partitionBy("_dia").csv(stage))
     days = []

@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeledger.functions.dates import as_date
-from lakeledger.operators.maintenance import SPREAD, co_partitioned, conform, source_key_counts, update_matched, without_keys
+from lakeledger.operators.maintenance import SIGN, SPREAD, co_partitioned, conform, source_key_counts, update_matched, without_keys
 from lakeledger.session import scratch_dir
+from lakeledger.sources.infer import widened
 
 SCHEMA_PREFIX = "_schema-"
 APPLIED = "_applied"
@@ -273,6 +274,12 @@ def scan_table(spark: SparkSession, path: str, lo: dt.date | str | None = None,
     return df.select(*shown)
 
 
+def scan_dates(spark: SparkSession, path: str, dates: Iterable[dt.date | None]) -> DataFrame:
+    """The rows of some dates (NULL may be one of them); only their folders are read."""
+    _, col = read_schema(spark, path)
+    return scan_table(spark, path).filter(_date_filter(col, dates))
+
+
 def _merged_schema(old: T.StructType | None, df: DataFrame) -> T.StructType:
     if old is None:
         return df.schema
@@ -281,6 +288,11 @@ def _merged_schema(old: T.StructType | None, df: DataFrame) -> T.StructType:
     return T.StructType(old.fields + extra)
 
 
+def _widened(stored: T.StructType, df: DataFrame) -> T.StructType:
+    new = {f.name.lower(): f.dataType for f in df.schema.fields}
+    return T.StructType([T.StructField(f.name, widened(f.dataType, new.get(f.name.lower(), f.dataType), f.name), f.nullable) for f in stored.fields])
+
+
 def _schema_text(schema: T.StructType, col: str, buckets: tuple[str, int] | None) -> str:
     return json.dumps({"schema": json.loads(schema.json()), "partition_column": col, "buckets": buckets}, indent=1)
 
@@ -382,7 +394,7 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
                      replace: Iterable[dt.date | None] = (), append_others: bool = True,
                      rebalance: bool = True, sort_by: list[str] | None = None,
                      count_appended: bool = False, batch: tuple[str, int] | None = None,
-                     cells: Iterable[tuple[dt.date | None, int]] = ()) -> dict:
+                     cells: Iterable[tuple[dt.date | None, int]] = (), widen: bool = False) -> dict:
     """Write ``df`` into the table in one Spark job.
 
     Each date in ``replace`` ends up holding exactly the frame's rows of that
@@ -394,14 +406,16 @@ def write_partitions(spark: SparkSession, path: str, df: DataFrame,
     a second small job, run only when some date was appended to.
     ``batch`` (stream name, number) is recorded with the commit; a batch that the
     table already holds is not applied again. ``cells`` are (date, bucket) pairs of a bucketed
-    table that are replaced one by one, as ``replace`` replaces whole dates.
+    table that are replaced one by one, as ``replace`` replaces whole dates. New rows are cast to the table's types; with
+    ``widen`` a column takes the wider type of the two instead, and an unrelated type is an error (``infer.widened``).
     """
     recover(spark, path)
     if applied(spark, path, batch):
         return {"replaced": [], "appended": [], "skipped": True}
     schema, col = read_schema(spark, path)
-    df = _aligned(df, schema)
-    new_schema = _merged_schema(schema, df)
+    wide = _widened(schema, df) if widen else schema
+    df = _aligned(df, wide)
+    new_schema = _merged_schema(wide, df)
     replace = {None if d is None else as_date(d) for d in replace}
     if not append_others:
         df = df.filter(_date_filter(col, replace))
@@ -448,9 +462,9 @@ def _sort_key(d):
     return (d is None, d or dt.date.min)
 
 
-def append_rows(spark: SparkSession, path: str, df: DataFrame) -> dict:
+def append_rows(spark: SparkSession, path: str, df: DataFrame, widen: bool = False) -> dict:
     """Append rows to their date partitions (new columns are added)."""
-    return write_partitions(spark, path, df, replace=(), append_others=True)
+    return write_partitions(spark, path, df, replace=(), append_others=True, widen=widen)
 
 
 def replace_dates(spark: SparkSession, path: str, df: DataFrame,
@@ -539,9 +553,6 @@ def recover(spark: SparkSession, path: str) -> None:
         fs.delete(f"{path}/{TRASH}/{stage_id}")
 
 
-SIGN = "_sinal"
-
-
 def touched_keys(spark: SparkSession, path: str, source: DataFrame, key: str) -> DataFrame:
     """(key, date[, bucket]) of every stored row. Of a bucketed table only the buckets of the source's keys
     are read: their numbers, at most as many as the table has, prune the table's folders when the query runs."""

@@ -20,12 +20,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeledger.functions.dates import as_date
+from lakeledger.plans import gold as gold_jobs
 from lakeledger.plans import ingest as ingest_jobs
 from lakeledger.schemas import SOURCES, Lake, SourceSpec
 from lakeledger.session import checkpoint_root
@@ -74,10 +76,53 @@ def watch_source(spark: SparkSession, lake: Lake, source: SourceSpec | str,
     return writer.start()
 
 
+def watch_lake(spark: SparkSession, lake: Lake, checkpoint: str | None = None, available_now: bool = True,
+               interval: str = "1 hour") -> StreamingQuery:
+    """Bronze to gold as one stream: a batch loads the new daily files of every source into silver, then refreshes the gold dates
+    that those loads changed (``plans.gold.follow``).
+
+    Exactly once over all the tables: silver commits carry the batch number and the changed dates, so a batch
+    that failed anywhere and is run again skips what silver holds and still refreshes what that touched.
+    """
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/lakeledger/streams/_lake"
+    name = "lake-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", "*.csv*")
+             .option("maxFileAge", NO_AGE_LIMIT).option("recursiveFileLookup", "true").load(f"{lake.root}/bronze").select("path"))
+    # bronze/{system}/{table}/{prefix}_{date}.csv, a file or a folder of part files
+    sources = {f"{s.system}/{s.table}/{s.prefix}": s for s in SOURCES.values()}
+    daily = r"/bronze/([^/]+/[^/]+/[^/]+)_(\d{4}_\d{2}_\d{2})\.csv"
+
+    def run_batch(batch: DataFrame, epoch_id: int) -> None:
+        # One row for each source and day, however many part files.
+        found = batch.select(F.regexp_extract("path", daily, 1).alias("source"), F.regexp_extract("path", daily, 2).alias("day")).filter("day <> ''").distinct().collect()
+        days: dict = {}
+        for r in found:
+            if r.source in sources:
+                days.setdefault(r.source, []).append(as_date(r.day.replace("_", "-")))
+
+        def load(source: str) -> None:
+            ingest_jobs.ingest_range(spark, lake, sources[source], sorted(days[source]), batch=(name, epoch_id))
+        if days:
+            with ThreadPoolExecutor(max_workers=len(days)) as pool:
+                list(pool.map(load, days))
+        gold_jobs.follow(spark, lake, (name, epoch_id))
+
+    writer = files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint).queryName("bronze_to_gold")
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
+
+
+def catch_up_lake(spark: SparkSession, lake: Lake, checkpoint: str | None = None) -> None:
+    """Load what has landed for any source, refresh the gold dates that it changes, and return."""
+    _finish(watch_lake(spark, lake, checkpoint=checkpoint))
+
+
+def _finish(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def catch_up(spark: SparkSession, lake: Lake, source: SourceSpec | str,
              checkpoint: str | None = None) -> None:
     """Load every daily file not loaded yet, then return."""
-    q = watch_source(spark, lake, source, checkpoint=checkpoint, available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(watch_source(spark, lake, source, checkpoint=checkpoint, available_now=True))
