@@ -10,7 +10,6 @@ meant to leave the cluster.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -93,7 +92,7 @@ def chosen_series(df: DataFrame, spec: ReportSpec, branches: DataFrame, dates: D
     planner's check), its dates prune the folders of a stored gold table when the query runs.
     """
     # A comparison on the list is what makes the planner prune dynamically; it holds for every date.
-    days = dates.select("CodigoData").filter(F.col("CodigoData") >= F.lit(dt.date(1, 1, 1))).distinct()
+    days = dates.select("CodigoData").filter(F.col("CodigoData") >= F.expr("DATE'0001-01-01'")).distinct()
     chosen = df.join(days, "CodigoData", "left_semi").join(branches.select("FilialId").distinct(), "FilialId", "left_semi")
     return _series(chosen, spec).orderBy("CodigoData", "FilialId")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
@@ -35,10 +34,10 @@ def answer_report(spark: SparkSession, lake: Lake, choice: str, branches: Iterab
 class ReportSession:
     """Answers many questions from gold tables held in the executors' memory (and disk; a lost block is read again).
 
-    A table is held for one version of it, that is, one set of data files: files are never changed in place, so the digest of
-    their names tells versions apart. Every question compares it with the stored table's (a listing), and after a load has
-    committed, the next question drops what is held and reads the new version. No clock is involved: an answer is never older
-    than the table at the time of the question.
+    A table is held for one version of it (``tables.folder_marks``, one listing). Every question compares the mark with the
+    stored table's, and after a load has committed, the next question drops what is held and reads the new version. No clock
+    is involved: an answer is never older than the table at the time of the question. The mark is part of the held
+    frame, as Spark would else take a later scan of the same folder for the held one.
     """
 
     def __init__(self, spark: SparkSession, lake: Lake):
@@ -46,13 +45,13 @@ class ReportSession:
         self.held: dict[str, tuple[str, DataFrame]] = {}
 
     def table(self, gold: str) -> DataFrame:
-        df = tables.scan_table(self.spark, self.lake.gold(gold))
-        version = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-        if gold in self.held and self.held[gold][0] == version:
-            return self.held[gold][1]
-        self.drop(gold)
-        self.held[gold] = (version, df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
+        path = self.lake.gold(gold)
+        version = tables.folder_marks(self.spark, path)
+        if gold not in self.held or self.held[gold][0] != version:
+            self.drop(gold)
+            df = tables.scan_table(self.spark, path).withColumn("_versao", F.lit(version))
+            self.held[gold] = (version, df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self.held[gold][1]
 
     def ask(self, choice: str, product: int | str | None = None, **filters) -> DataFrame:
         spec = _spec(choice, product)
@@ -89,8 +88,8 @@ def stored_choices(spark: SparkSession, lake: Lake, gold: str, col: str) -> Data
     return distinct_values(tables.scan_table(spark, lake.gold(gold)), col)
 
 
-def stored_rows(spark: SparkSession, lake: Lake, gold: str) -> DataFrame:
-    """(linhas, tem_linhas) of a stored gold table: the count is pushed down into the Parquet footers, no row is read.
+def stored_rows(spark: SparkSession, lake: Lake, golds: Iterable[str]) -> DataFrame:
+    """(tabela, linhas, tem_linhas) of stored gold tables: the counts are pushed down into the Parquet footers, no row is read.
 
     Spark pushes aggregates down in its second-generation file scan only, which a session of its own turns on; the
     caller's settings stay as they are.
@@ -98,9 +97,14 @@ def stored_rows(spark: SparkSession, lake: Lake, gold: str) -> DataFrame:
     footers = spark.newSession()
     footers.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
     footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    path = lake.gold(gold)
-    schema, col = tables.read_schema(spark, path)
-    if not tables.list_partitions(spark, path, col):
-        return footers.range(1).select(F.lit(0).cast("bigint").alias("linhas"), F.lit(False).alias("tem_linhas"))
-    count = footers.read.schema(schema).parquet(path).agg(F.count(F.lit(1)).alias("linhas"))
-    return count.select("linhas", (F.col("linhas") > 0).alias("tem_linhas"))
+    out = None
+    for gold in golds:
+        path = lake.gold(gold)
+        schema, col = tables.read_schema(spark, path)
+        if tables.list_partitions(spark, path, col):
+            count = footers.read.schema(schema).parquet(path).agg(F.count(F.lit(1)).alias("linhas"))
+        else:
+            count = footers.range(1).select(F.lit(0).cast("bigint").alias("linhas"))
+        count = count.select(F.lit(gold).alias("tabela"), "linhas", (F.col("linhas") > 0).alias("tem_linhas"))
+        out = count if out is None else out.unionByName(count)
+    return out

@@ -553,3 +553,234 @@ def _stream_query(source: str):
 
 for _src in ("frete", "devolucao"):
     register(f"stream_ingest_{_src}", O.with_ctes(f"SELECT * FROM {_src}", _src))(_stream_query(_src))
+
+
+# --- keyed upserts by bucket, gold that follows silver --------------------------------
+
+
+@register("upsert_bucketed", ORACLE["upsert_stored"])
+def upsert_bucketed(spark, sf):
+    """The upsert of ``upsert_stored`` into a table with buckets of the key below its dates."""
+    lake = new_lake(spark, "upsert_bucketed")
+    spec = SOURCES["devolucao"]
+    df = TD.devolucao(spark, sf)
+    five = F.col("produto_id") % 5 == 0
+    new_key = F.col("produto_id") % 7 == 3
+    tables.create_table(spark, lake.silver(spec), df.filter(~new_key), spec.date_column, buckets=(spec.key_column, 4))
+    revised = df.withColumn("quantidade", F.when(five, F.col("quantidade") + 1).otherwise(F.col("quantidade"))).withColumn(
+        "data_devolucao", F.when(five & (F.col("produto_id") % 2 == 0), F.add_months("data_devolucao", 1)).otherwise(F.col("data_devolucao")))
+    tables.upsert_table(spark, lake.silver(spec), revised.filter(five | new_key), spec.key_column)
+    return tables.scan_table(spark, lake.silver(spec))
+
+
+def _gold_totals(spark, lake):
+    """Rows and total of each stored gold table, date and branch."""
+    out = None
+    for gold, measure in (("produtos", "TotalValorVendido"), ("fretes", "TotalFretePago"), ("impostos", "TotalImpostoPago")):
+        part = tables.scan_table(spark, lake.gold(gold)).groupBy(F.lit(gold).alias("tabela"), "CodigoData", "FilialId").agg(
+            F.count("*").alias("linhas"), F.sum(F.col(measure).cast("decimal(38,4)")).cast("double").alias("total"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("stream_to_gold", ORACLE["pipeline_day"].replace(f"WHERE CodigoData <= {_D} ", ""))
+def stream_to_gold(spark, sf):
+    """Daily files of all sources, one date as first sent (returns of it lie a month earlier, or are missing), taken from bronze to
+    gold by one stream; then the date's corrected files land, and a second run refreshes the gold dates that they change: that date, and
+    the month that the moved returns leave."""
+    from lakeledger.streaming.bronze_watch import catch_up_lake
+
+    lake = new_lake(spark, "stream_to_gold")
+    frames = {n: build(spark, sf) for n, build in TD.BUILDERS.items()}
+    day = middle_day(frames["devolucao"], SOURCES["devolucao"])
+
+    def export(corrected: bool) -> None:
+        def one(name: str) -> None:
+            spec = SOURCES[name]
+            rows = frames[name].filter(F.col(spec.date_column) == F.lit(day)) if corrected else as_first_sent(frames[name], spec, day)
+            export_daily(spark, rows, lake, spec)
+        with ThreadPoolExecutor(max_workers=len(SOURCES)) as pool:
+            list(pool.map(one, SOURCES))
+    for corrected in (False, True):
+        export(corrected)
+        catch_up_lake(spark, lake, checkpoint=f"{lake.root}/_streams/lake")
+    return _gold_totals(spark, lake)
+
+
+@register("gold_product_delta", ORACLE["gold_product"])
+def gold_product_delta(spark, sf):
+    """The product summary kept by differences: built while one date's rows are as first sent, then brought up to date from the change
+    sets of an upsert (revisions, moves, new rows) and of two replaced dates, applied twice (the second is skipped)."""
+    from lakeledger.operators import deltas
+    from lakeledger.plans import delta as delta_jobs
+
+    lake = new_lake(spark, "gold_product_delta")
+    frames = {n: TD.BUILDERS[n](spark, sf) for n in GOLDS["produtos"].inputs}
+    day = middle_day(frames["devolucao"], SOURCES["devolucao"])
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        list(pool.map(lambda n: tables.create_table(spark, lake.silver(n), as_first_sent(frames[n], SOURCES[n], day), SOURCES[n].date_column), frames))
+    silver = {n: tables.scan_table(spark, lake.silver(n)) for n in frames}
+    delta_jobs.build(spark, lake, silver)
+    changes = {}
+    for name, df in frames.items():
+        spec, path = SOURCES[name], f"{lake.root}/_changes/{name}"
+        rows = df.filter(F.col(spec.date_column) == F.lit(day))
+        if spec.append_only:
+            deltas.replace_changes(silver[name], rows, spec.date_column, day).write.parquet(path)
+            tables.replace_dates(spark, lake.silver(spec), rows, [day])
+        else:
+            tables.upsert_table(spark, lake.silver(spec), rows, spec.key_column, changes=path)
+        changes[name] = spark.read.parquet(path)
+    for _ in range(2):
+        delta_jobs.apply_changes(spark, lake, changes, batch=("changes", 0))
+    return tables.scan_table(spark, lake.gold("produtos"))
+
+
+# --- types of undeclared columns -------------------------------------------------------
+
+_EXTRA = """CASE WHEN produto_id % 2 = 0 THEN quantidade * 0.5 ELSE quantidade END"""
+
+
+@register("scan_csv_inferred", O.with_ctes(
+    f"SELECT filial_id, CAST(sum(CAST({_EXTRA} AS DOUBLE)) AS DOUBLE) AS peso, CAST(max(CAST(produto_id AS BIGINT) * 1000000000) AS BIGINT) AS lote, "
+    "CAST(count(*) FILTER (WHERE quantidade > 25) AS BIGINT) AS abertos, min(data_devolucao) AS prazo, CAST(sum(quantidade) AS BIGINT) AS caixas FROM devolucao GROUP BY 1", "devolucao"))
+def scan_csv_inferred(spark, sf):
+    """A daily file with columns that the contract does not declare, whose parts write them differently (whole and broken numbers): each
+    gets the narrowest type that takes all its texts, and is summed or compared in that type."""
+    lake = new_lake(spark, "scan_csv_inferred")
+    spec = SOURCES["devolucao"]
+    df = TD.devolucao(spark, sf).select(
+        "*", (F.col("produto_id").cast("bigint") * 1000000000).alias("lote"), (F.col("quantidade") > 25).alias("aberto"),
+        F.col("data_devolucao").alias("prazo"), F.col("quantidade").alias("caixas"))
+    path = daily_path(lake, spec, O.PROCESSING_DATE)
+    even = F.col("produto_id") % 2 == 0
+    df.filter(even).withColumn("peso", F.col("quantidade") * 0.5).write.option("header", True).csv(path)
+    df.filter(~even).withColumn("peso", F.col("quantidade")).write.mode("append").option("header", True).csv(path)
+    rows = scan_csv(spark, path, spec, infer=True)
+    assert [rows.schema[c].dataType.simpleString() for c in ("peso", "lote", "aberto", "prazo", "caixas")] == ["double", "bigint", "boolean", "date", "int"]
+    return rows.groupBy("filial_id").agg(F.sum("peso").alias("peso"), F.max("lote").alias("lote"), F.count(F.when(F.col("aberto"), 1)).alias("abertos"),
+                                         F.min("prazo").alias("prazo"), F.sum("caixas").alias("caixas"))
+
+
+@register("ingest_widened", O.with_ctes(
+    f"SELECT data_venda, CAST(count(*) AS BIGINT) AS linhas, CAST(sum(CASE WHEN data_venda < {_D} THEN quantidade ELSE quantidade * 0.5 END) AS DOUBLE) AS peso "
+    "FROM vendas GROUP BY 1", "vendas"))
+def ingest_widened(spark, sf):
+    """Sales whose files bring an undeclared column: whole numbers on the days before the processing date, broken ones after it. The
+    stored column widens, and older files are read in the wider type."""
+    lake = new_lake(spark, "ingest_widened")
+    spec = SOURCES["vendas"]
+    d = F.lit(O.PROCESSING_DATE).cast("date")
+    rows = TD.vendas(spark, sf)
+    late = F.col("data_venda") >= d
+    whole, broken = rows.filter(~late).withColumn("peso", F.col("quantidade")), rows.filter(late).withColumn("peso", F.col("quantidade") * 0.5)
+    for day, part in (("1998-02-28", whole), ("1998-03-02", broken)):
+        part.write.option("header", True).csv(daily_path(lake, spec, day))
+        ingest_jobs.ingest(spark, lake, spec, day, infer=True)
+    out = tables.scan_table(spark, lake.silver(spec))
+    assert out.schema["peso"].dataType == T.DoubleType()
+    return out.groupBy("data_venda").agg(F.count("*").alias("linhas"), F.sum("peso").alias("peso"))
+
+
+# --- reports on the lake ----------------------------------------------------------------
+
+
+def _gold_lake(spark, sf, label: str, golds=("produtos",)) -> Lake:
+    """A lake with stored gold tables."""
+    lake = _silver_lake(spark, sf, label, sorted({s for g in golds for s in GOLDS[g].inputs}))
+    for gold in golds:
+        gold_jobs.build(spark, lake, gold)
+    return lake
+
+
+@register("stored_date_bounds", ORACLE["date_bounds"])
+def stored_date_bounds(spark, sf):
+    """First and last date of the stored summary, from its folders."""
+    from lakeledger.plans import reports as report_jobs
+
+    return report_jobs.stored_date_bounds(spark, _gold_lake(spark, sf, "bounds"), "produtos")
+
+
+@register("stored_choices", "SELECT * FROM (" + " UNION ALL ".join(
+    "SELECT * FROM (" + O.with_ctes(f"SELECT DISTINCT '{c}' AS campo, CAST({c} AS VARCHAR) AS valor FROM gold_product WHERE {c} IS NOT NULL", "gold_product") + f") q_{c}"
+    for c in ("CodigoData", "ProdutoId", "FilialId")) + ") t")
+def stored_choices(spark, sf):
+    """The choice lists of a report on the stored summary: dates from its folders, products and branches from their columns."""
+    from lakeledger.plans import reports as report_jobs
+
+    lake, out = _gold_lake(spark, sf, "choices"), None
+    for c in ("CodigoData", "ProdutoId", "FilialId"):
+        part = report_jobs.stored_choices(spark, lake, "produtos", c).select(F.lit(c).alias("campo"), F.col(c).cast("string").alias("valor"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("stored_has_rows", "SELECT * FROM (" + " UNION ALL ".join(
+    "SELECT * FROM (" + O.with_ctes(f"SELECT '{t}' AS tabela, CAST(count(*) AS BIGINT) AS linhas, count(*) > 0 AS tem_linhas FROM {g}", g) + f") q_{t}"
+    for t, g in (("produtos", "gold_product"), ("fretes", "gold_freight"), ("impostos", "gold_taxes"))) + ") t")
+def stored_has_rows(spark, sf):
+    """Whether each stored gold table has rows, and how many, from Parquet footers."""
+    from lakeledger.plans import reports as report_jobs
+
+    return report_jobs.stored_rows(spark, _gold_lake(spark, sf, "has_rows", tuple(GOLDS)), ("produtos", "fretes", "impostos"))
+
+
+_CHOSEN = ("SELECT CodigoData, FilialId, CAST(coalesce(sum(CAST(TotalFretePago AS DECIMAL(38,4))), 0) AS DOUBLE) AS TotalFretePago FROM gold_freight "
+           "WHERE FilialId IN (SELECT n_name FROM nation WHERE n_regionkey = 1) AND CodigoData IN "
+           "(SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= DATE '1995-06-01' AND o_orderdate < DATE '1996-01-01') GROUP BY 1, 2")
+
+
+@register("report_chosen", O.with_ctes(_CHOSEN, "gold_freight"))
+def report_chosen(spark, sf):
+    """A report whose choices are tables: the branches of a region, the months that had urgent orders in half a year."""
+    lake = _gold_lake(spark, sf, "report_chosen", ("fretes",))
+    branches = TD.read_table(spark, sf, "nation").filter("n_regionkey = 1").select(F.col("n_name").alias("FilialId"))
+    orders = TD.read_table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT' AND o_orderdate >= DATE'1995-06-01' AND o_orderdate < DATE'1996-01-01'")
+    dates = orders.select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("CodigoData"))
+    return R.chosen_series(tables.scan_table(spark, lake.gold("fretes")), R.REPORTS["fretes"], branches, dates)
+
+
+@register("report_cached", ORACLE["report_freight"])
+def report_cached(spark, sf):
+    """Questions of one report session: two on the freight summary while a date is as first sent, the second from memory; then the
+    date is corrected and refreshed, and the next question sees it."""
+    from lakeledger.plans.reports import ReportSession
+
+    lake = new_lake(spark, "report_cached")
+    spec, day = SOURCES["frete"], as_date(O.PROCESSING_DATE)
+    rows = TD.frete(spark, sf)
+    tables.create_table(spark, lake.silver(spec), as_first_sent(rows, spec, day), spec.date_column)
+    gold_jobs.build(spark, lake, "fretes")
+    session = ReportSession(spark, lake)
+    for _ in range(2):
+        R.collect_series(session.ask("fretes", **STD_FILTER), max_rows=100_000)
+    tables.replace_dates(spark, lake.silver(spec), rows, [day])
+    gold_jobs.refresh(spark, lake, "fretes", day)
+    return session.ask("fretes", **STD_FILTER)
+
+
+@register("report_collected", ORACLE["report_taxes"])
+def report_collected(spark, sf):
+    """A report brought to the driver for a chart (bounded by dates times chosen branches), and back as a frame."""
+    series = R.report_series(_gold_taxes(spark, sf), R.REPORTS["impostos"], **STD_FILTER)
+    return spark.createDataFrame(R.collect_series(series, max_rows=100_000), series.schema)
+
+
+@register("report_batch", "SELECT * FROM (" + ORACLE["report_products_all"] + ") a UNION ALL SELECT * FROM (" + ORACLE["report_products_one"] + ") b")
+def report_batch(spark, sf):
+    """Two questions on one summary, which is computed once for both; their answers are stored before it is let go."""
+    out = f"{new_lake(spark, 'report_batch').root}/answers"
+    with R.report_batch(_gold_product(spark, sf)) as gold:
+        every, one = (R.report_series(gold, R.REPORTS["produtos"], product=p, **STD_FILTER) for p in (R.ALL_PRODUCTS, O.PRODUCT))
+        every.unionByName(one).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@register("report_detail_pages", ORACLE["report_detail_products"])
+def report_detail_pages(spark, sf):
+    """The detail rows of the stored summary page by page, a page beginning behind the last key of the one before."""
+    lake = _gold_lake(spark, sf, "report_pages")
+    out = None
+    for page in R.detail_pages(tables.scan_table(spark, lake.gold("produtos")), G.PRODUCT_KEYS, 200, **STD_FILTER):
+        out = page if out is None else out.unionByName(page)
+    return out

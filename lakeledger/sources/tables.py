@@ -29,6 +29,7 @@ copies, is not supported. One writer per table is assumed
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable
@@ -171,6 +172,14 @@ def list_partitions(spark: SparkSession, path: str, col: str) -> list[dt.date |
     return out
 
 
+def folder_marks(spark: SparkSession, path: str) -> str:
+    """A mark that changes with every commit to a table without buckets: the names and modification times of its
+    date folders (one listing). A commit swaps folders or adds files to them, and either changes a time."""
+    fs = _FS(spark, path)
+    seen = sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.fs.listStatus(fs.p(path)) if "=" in s.getPath().getName())
+    return hashlib.sha256(json.dumps([seen, _schema_versions(fs, path)]).encode()).hexdigest()
+
+
 def _date_filter(col: str, dates: Iterable[dt.date | None]):
     dates = list(dates)
     real = [as_date(d) for d in dates if d is not None]
