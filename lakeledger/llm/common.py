@@ -129,18 +129,53 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of value * base**position; see ``range_hash``."""
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of value * base**position modulo 2**64. Differences tell short grams apart; over long ranges this sum alone
+    can be made to collide (any odd base, Thue-Morse texts), see ``range_hash``."""
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * powers(len(values)), out=out[1:])
     return out
 
 
+#: A prime, and a primitive root of it: no power of the root by a power of two is 1, so texts built by doubling do not cancel.
+_PRIME, _ROOT = (1 << 31) - 1, 48271
+_ROOTS: dict[int, np.ndarray] = {}
+
+
+def prime_powers(n: int, inverse: bool = False) -> np.ndarray:
+    """root**0 .. root**(n-1) modulo the prime (or of the inverse root), cached."""
+    base = pow(_ROOT, -1, _PRIME) if inverse else _ROOT
+    have = _ROOTS.get(base)
+    if have is None or len(have) < n:
+        size = max(n, 1 << 16)
+        have = np.ones(size, np.uint64)
+        k = 1
+        while k < size:
+            m = min(k, size - k)
+            have[k:k + m] = have[:m] * _U(pow(base, k, _PRIME)) % _U(_PRIME)
+            k += m
+        if size <= 4 * SLICE_BYTES:
+            _ROOTS[base] = have
+    return have[:n]
+
+
+def prefix_hash(values: np.ndarray) -> np.ndarray:
+    """Two rows of prefix sums: modulo 2**64, and of the values' upper 31 bits times powers modulo a prime (terms
+    below 2**32, reduced when a range is taken); see ``range_hash``."""
+    out = np.zeros((2, len(values) + 1), np.uint64)
+    np.cumsum(values * powers(len(values)), out=out[0, 1:])
+    term = (values >> _U(33)) * prime_powers(len(values))
+    np.cumsum((term & _U(_PRIME)) + (term >> _U(31)), out=out[1, 1:])
+    return out
+
+
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for every pair; equal ranges hash equally
-    wherever they stand, and the length takes part."""
-    x = (prefix[end] - prefix[start]) * powers(len(prefix), inverse=True)[start]
-    return mix(x + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    """Hash of values[start:end] for every pair; equal ranges hash equally wherever they stand, and the length takes part. The sums
+    modulo 2**64 and modulo the prime have nothing in common that a text could be built on."""
+    n = prefix.shape[1]
+    x = (prefix[0, end] - prefix[0, start]) * powers(n, inverse=True)[start]
+    y = (prefix[1, end] - prefix[1, start]) % _U(_PRIME) * prime_powers(n, inverse=True)[start] % _U(_PRIME)
+    return mix(mix(x + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)) + y * _U(0x9FB21C651E98DF25))
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:

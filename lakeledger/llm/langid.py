@@ -25,6 +25,8 @@ from lakeledger.llm.common import bounded_sample, free_name, materialise, share
 from lakeledger.llm.ngrams import grams, lowered, slices
 
 PER_LANGUAGE = 500
+#: Rows of all languages together that the machines are fitted on (16 KB each on the driver).
+MOST_ROWS = 8000
 BUCKETS = 4096
 SIZES = (1, 2, 3)
 PASSAGE = 100
@@ -146,9 +148,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           families: dict[str, str] = _FAMILY_OF, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on the bounded sample of ``docs`` (rows that pass ``where``)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (F.lit(True) if where is None else where).alias("use"))
-    ids = rows.filter("use AND lang IS NOT NULL AND text IS NOT NULL").select("id", "lang")
+    ids = rows.filter("use AND lang IS NOT NULL AND text IS NOT NULL").select("id", "lang").distinct()
+    # Many languages share the rows that the driver can hold.
+    per_language = max(1, min(per_language, MOST_ROWS // max(1, ids.select("lang").distinct().count())))
     chosen = materialise(bounded_sample(ids, per_language, "lang", "id").withColumn("place", F.pmod(F.xxhash64("id"), F.lit(1 << 40))), "language-sample")
-    texts = rows.filter("use").join(F.broadcast(chosen), ["id", "lang"]).dropDuplicates(["id", "lang"]).select("lang", "place", "text")
+    # Of several texts with one id and language the smallest is learnt from.
+    texts = rows.filter("use").join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("place").alias("place"), F.min("text").alias("text")).select("lang", "place", "text")
 
     def run(batches):
         for batch in batches:

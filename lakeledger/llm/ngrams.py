@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from lakeledger.llm.common import byte_values, give_back, mix, powers, prefix_hash
+from lakeledger.llm.common import byte_values, give_back, mix, powers, prefix_sums
 
 #: Characters handled together; every one makes a few n-grams.
 SLICE_CHARS = 1 << 18
@@ -34,7 +34,7 @@ def grams(data: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     """(hash, row) of every n-gram that lies in one row."""
     if len(data) < n:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    sums = prefix_hash(byte_values(data))
+    sums = prefix_sums(byte_values(data))
     h = mix((sums[n:] - sums[:-n]) * powers(len(data) - n + 1, inverse=True) + np.uint64(n))
     inside = row[:len(row) - n + 1] == row[n - 1:]
     return h[inside], row[:len(row) - n + 1][inside]

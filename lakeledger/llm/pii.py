@@ -145,6 +145,32 @@ class Features:
         return out
 
 
+def beside(parts: list[list[tuple[int, int]]], spans):
+    """Each sequence with the spans that meet it; both are walked once, in order of start."""
+    waiting, near = sorted(spans, key=lambda s: s[1])[::-1], []
+    for words in parts:
+        near = [s for s in near if s[2] > words[0][0]]
+        while waiting and waiting[-1][1] < words[-1][1]:
+            near.append(waiting.pop())
+        yield words, [s for s in near if s[2] > words[0][0]]
+
+
+class Covered:
+    """Places that spans cover, for spans that are asked for (and added) in order of start."""
+
+    def __init__(self, spans):
+        self.waiting, self.end = sorted(((a, b) for _, a, b in spans), reverse=True), 0
+
+    def add(self, a: int, b: int) -> bool:
+        """Whether [a, b) is free; it is covered from then on. ``a`` never falls."""
+        while self.waiting and self.waiting[-1][0] <= a:
+            self.end = max(self.end, self.waiting.pop()[1])
+        if a < self.end or self.waiting and self.waiting[-1][0] < b:
+            return False
+        self.end = b
+        return True
+
+
 def gold(words: list[tuple[int, int]], spans) -> list[int]:
     """Label numbers of words, given spans."""
     labels = [0] * len(words)
@@ -254,9 +280,8 @@ def labelled_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             for text in batch.column(0):
                 text = text.as_py() or ""
-                spans = base_spans(text)
                 out = [(hashlib.md5(" ".join(words).encode()).hexdigest(), words, gold(seq, spans))
-                       for seq in sequences(text) if len(seq) <= 60 for words in ([text[a:b] for a, b in seq],)]
+                       for seq, spans in beside(sequences(text), base_spans(text)) if len(seq) <= 60 for words in ([text[a:b] for a, b in seq],)]
                 if out:
                     a, b, c = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.list_(pa.string())), pa.array(c, pa.list_(pa.int32()))], names=["place", "words", "labels"])
@@ -320,11 +345,11 @@ def find(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFr
                     owners.append(i)
                     words.append(seq)
                     feats.append(features.of([t[a:b] for a, b in seq]))
-            every = [list(b) for b in base]
+            every, covered = [list(b) for b in base], [Covered(b) for b in base]
             for i, seq, labels in zip(owners, words, model.viterbi(feats) if feats else ()):
                 if labels.any():
                     for k, a, b in field_spans(texts[i], seq, labels):
-                        if all(b <= s or a >= e for _, s, e in every[i]):
+                        if covered[i].add(a, b):
                             every[i].append((k, a, b))
             counts = [pa.array([sum(s[0] == k for s in b) for b in base], pa.int64()) for k in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counts, pa.array([as_text(b) for b in base]), pa.array([as_text(sorted(e)) for e in every])],

@@ -69,16 +69,22 @@ def op7(spark, sf):
 @_register("op8_warc", """
 SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to
-FROM (SELECT *, strlen(coalesce(html, '')) >= 1000 AND page_id <> last AS again
+FROM (SELECT *, strlen(coalesce(html, '')) >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last AS again
       FROM (SELECT page_id, html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages) p) q""")
 def op8(spark, sf):
+    return op8_frame(documents(spark, sf, "pages"))
+
+
+def op8_frame(pages):
+    spark = pages.sparkSession
     path = scratch_dir(spark, "warc")
-    WARC.write_archive(documents(spark, sf, "pages"), path)
+    WARC.write_archive(pages, path)
     facts = F.col("metadata.fields")
     return WARC.captures(spark, path, payload=False).select(
         facts["page-id"].cast("long").alias("page_id"), facts["payload-length"].cast("long").alias("payload_bytes"),
         F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
-        facts["refers-to-page"].cast("long").alias("refers_to"))
+        facts["refers-to-page"].cast("long").alias("refers_to"),
+        F.explode(F.array_repeat(F.lit(1), facts["copies"].cast("int"))).alias("_")).drop("_")
 
 
 @_register("op5_quality", QUALITY.oracle_sql())

@@ -52,7 +52,7 @@ def runs_of_minimisers(values: np.ndarray, edges: np.ndarray, width: int, gram:
     if n < width:
         return none.astype(np.uint64), none.astype(np.uint64), none, none, none, none.astype(bool)
     sums = prefix_hash(values)
-    grams = mix((sums[gram:] - sums[:-gram]) * powers(n - gram + 1, inverse=True))
+    grams = mix((sums[0, gram:] - sums[0, :-gram]) * powers(n - gram + 1, inverse=True))
     reach = width - gram + 1
     low = window_min(grams, reach)
     row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))

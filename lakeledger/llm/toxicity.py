@@ -145,7 +145,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         marks = marks.filter(where(F.col("id")))
     marks = materialise(marks, "toxicity-labels")
     chosen = materialise(bounded_sample(marks, per_label, "label", "id"), "toxicity-sample")  # at most 2 * per_label ids
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    # Of several texts with one id the smallest is learnt from.
+    texts = texts.groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
     return materialise(texts.select("text", "label", F.xxhash64("id").alias("place")), "toxicity-texts")
 
 

@@ -7,12 +7,13 @@ puts the record separator (two line ends) behind each record, and gzips each fil
 equal payloads are revisits that refer to it.
 
 Reading parses each file by Content-Length, checks payload digests, and assembles transactions:
-records meet by the identifier of their response, and one nested row comes out per capture. Files are cut at
-``RECORDS_PER_FILE`` records, so a task holds little at a time.
+records meet by the identifier of their response, and one nested row comes out per capture. Files are cut so that one holds
+at most ``FILE_BYTES`` of payload, or one page; a reader holds one file, and its records one after the other.
 
 Defined results: null html is empty; a null url is kept as null; control characters in a url are dropped from the
-header; a null page id is never the one referred to; rows equal in page id, url and html are one capture;
-other columns are dropped; an empty table gives an empty archive.
+header; a null page id is never the one referred to (such a page revisits the largest id with its payload); rows equal in page id, url and html
+are one capture, whose metadata tell how many rows it stands for (``copies``); other columns are dropped; an empty table
+gives an empty archive.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from lakeledger.llm.common import filter_by, id_filter, materialise
 
 SMALLEST_REVISIT = 1000
-RECORDS_PER_FILE = 3000
+FILE_BYTES = 64 << 20
+#: Pages up to this size are written together, longer ones apart, so that a few long ones do not make many small files.
+USUAL_BYTES = 1 << 18
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
@@ -64,12 +67,24 @@ def with_reference(pages: DataFrame, smallest: int = SMALLEST_REVISIT) -> DataFr
     return some.unionByName(none).withColumn("ref", F.when(~same & (F.col("bytes") >= smallest), F.col("ref")))
 
 
+def with_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with rows equal in page id, url and payload as one, and ``copies``: how many they were. Only the
+    digests of all rows are shuffled; payloads only of rows that repeat."""
+    same = ("page_id", "url", "digest")
+    again = materialise(rows.groupBy(*same).agg(F.count("*").alias("copies")).filter("copies > 1"), "repeated-pages")
+    bitmap = materialise(id_filter(again, *same), "repeated-bitmap")
+    # The digest stands for the payload, so the first of equal rows is like any of them.
+    some = (filter_by(rows, bitmap, *same).groupBy(*same).agg(*[F.first(c).alias(c) for c in rows.columns if c not in same], F.count("*").alias("copies"))
+            .select(*rows.columns, "copies"))
+    return some.unionByName(filter_by(rows, bitmap, *same, how="left_anti").withColumn("copies", F.lit(1).cast("long")))
+
+
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                   smallest: int = SMALLEST_REVISIT) -> None:
     """Write ``pages`` as gzipped WARC files into the folder ``path`` (new, and shared by the executors)."""
     base = pages.select(F.col(id_col).alias("page_id"), F.regexp_replace(F.col(url_col), r"[\x00-\x20\x7F]", "").alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    rows = with_reference(base, smallest)
+    rows = with_copies(with_reference(base, smallest))
     revisit = F.col("ref").isNotNull()
     own = _urn(F.lit("capture"), F.col("page_id"), F.col("url"), F.col("digest"))
     target = F.when(revisit, _urn(F.lit("capture"), F.col("ref.page_id"), F.col("ref.url"), F.col("digest")))
@@ -78,16 +93,21 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     asked = F.concat(F.lit("GET "), F.coalesce("url", F.lit("/")), F.lit(f" HTTP/1.1{EOL}Host: "), page_host, F.lit(EOL + EOL))
     answer = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "), F.col("bytes").cast("string"),
                       F.lit(EOL + EOL), F.when(revisit, F.lit("")).otherwise(F.col("html")))
-    facts = F.concat(_header("page-id", F.col("page_id")), _header("payload-length", F.col("bytes")), _header("refers-to-page", F.col("ref.page_id")))
-    records = rows.select(F.explode(F.array(
+    facts = F.concat(_header("page-id", F.col("page_id")), _header("payload-length", F.col("bytes")), _header("refers-to-page", F.col("ref.page_id")),
+                     _header("copies", F.col("copies")))
+    records = rows.select("bytes", F.explode(F.array(
         _record(F.lit("request"), _urn(F.lit("request"), own), F.col("url"), "application/http;msgtype=request", asked, together),
         _record(F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")), own, F.col("url"), "application/http;msgtype=response", answer,
                 _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
                 _header("WARC-Profile", F.when(revisit, F.lit(PROFILE))), _header("WARC-Refers-To", target)),
         _record(F.lit("metadata"), _urn(F.lit("metadata"), own), F.col("url"), "application/warc-fields", facts, together),
     )).alias("value"))
-    (records.write.option("lineSep", EOL + EOL).option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    longest = base.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    usual = F.col("bytes") <= USUAL_BYTES
+    for part, most in ((records.filter(usual), USUAL_BYTES), (records.filter(~usual), longest)):
+        if most >= USUAL_BYTES:
+            (part.select("value").write.mode("append").option("lineSep", EOL + EOL).option("compression", "gzip")
+             .option("maxRecordsPerFile", 3 * max(1, FILE_BYTES // most)).text(path))
 
 
 _HEADERS = re.compile(rb"([A-Za-z-]+):[ \t]*([^\r\n]*)\r\n")
@@ -128,15 +148,23 @@ def read_records(spark: SparkSession, path: str, payload: bool = True) -> DataFr
         return (h["warc-record-id"], kind, h.get("warc-target-uri") or None, h.get("warc-date"), h.get("warc-concurrent-to"), h.get("warc-refers-to"),
                 digest, length, fields, block if payload else None)
 
+    def as_batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FIELDS)], names=[n for n, _ in _FIELDS])
+
     def run(batches):
         for batch in batches:
             for content in batch.column(0):
                 raw = content.as_py()
                 data = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
-                rows = [row(*r) for r in _parse(data)]
-                for i in range(0, len(rows), 500):
-                    cols = zip(*rows[i:i + 500])
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, _FIELDS)], names=[n for n, _ in _FIELDS])
+                rows, held = [], 0
+                for headers, block in _parse(data):
+                    rows.append(row(headers, block))
+                    held += len(block) if payload else 0
+                    if len(rows) == 500 or held > FILE_BYTES // 8:
+                        yield as_batch(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield as_batch(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
 

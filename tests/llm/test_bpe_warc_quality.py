@@ -7,10 +7,12 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import duckdb
 import pytest
 from helpers import empty, frame, odd_rows, prose, with_extras
 from tokenizers import Tokenizer
 
+from lakeledger.llm.queries import ORACLE, op8_frame
 from lakeledger.llm import bpe, quality, warc
 from lakeledger.session import scratch_dir
 
@@ -120,11 +122,33 @@ def test_archive_round_trip(spark):
 def test_archive_files_are_gzip_and_rows_that_repeat_are_one_capture(spark):
     path = scratch_dir(spark, "test-warc")
     warc.write_archive(frame(spark, [(1, "u", "x" * 2000)] * 3 + [(1, "u", "other")], PAGES), path)
-    assert sorted((r["metadata"]["fields"]["page-id"], r["response"]["type"]) for r in warc.captures(spark, path).collect()) == [("1", "response")] * 2
+    got = warc.captures(spark, path).collect()
+    assert sorted((r["metadata"]["fields"]["page-id"], r["response"]["type"], r["metadata"]["fields"]["copies"]) for r in got) == [("1", "response", "1"), ("1", "response", "3")]
     content = spark.read.format("binaryFile").load(path).select("content").first()[0]
     assert gzip.decompress(content).startswith(b"WARC/1.1\r\n")
 
 
+def test_query_has_a_row_for_each_row_of_pages(spark):
+    rows = page_rows() + [page_rows()[0]] * 2 + [page_rows()[6], (7, "http://g.example/", page_rows()[0][2]), (None, None, None), (None, None, None), (5, None, None), (None, "v", "z" * 1500), (None, "v", "z" * 1500)]
+    df = frame(spark, rows, PAGES)
+    got = sorted((tuple(r) for r in op8_frame(df).collect()), key=repr)
+    con = duckdb.connect()
+    con.register("pages", df.toArrow())
+    want = sorted(con.execute(ORACLE["op8_warc"]).fetchall(), key=repr)
+    assert len(got) == len(rows) and got == want
+
+
+def test_long_pages_have_files_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4000)
+    monkeypatch.setattr(warc, "USUAL_BYTES", 1000)
+    path = scratch_dir(spark, "test-warc")
+    rows = [(i, "u", f"{i} " + "x" * (i * 97 % 900)) for i in range(40)] + [(100 + i, "u", f"{i} " + "y" * 1500) for i in range(4)]
+    warc.write_archive(frame(spark, rows, PAGES).coalesce(1), path)
+    files = [gzip.decompress(r[0]) for r in spark.read.format("binaryFile").load(path).select("content").collect()]
+    assert max(f.count(b"WARC-Type: response") for f in files) <= 4 and all(f.count(b"WARC-Type: response") <= 2 for f in files if b"yyy" in f)
+    assert {r["metadata"]["fields"]["page-id"] for r in warc.captures(spark, path).collect()} == {str(r[0]) for r in rows}
+
+
 def test_records_alone_and_damaged_files(spark):
     rec = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:1>\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: 20\r\n\r\nHTTP/1.1 200\r\n\r\nbody\r\n\r\n"
     good = rec % hashlib.sha1(b"body").hexdigest().encode()

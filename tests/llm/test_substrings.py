@@ -128,3 +128,36 @@ def test_window_ranks_and_minima(values, width):
 def test_merge_runs():
     s, e = merge_runs(np.array([5, 0, 3, 20]), np.array([9, 4, 6, 21]))
     assert list(zip(s.tolist(), e.tolist())) == [(0, 9), (20, 21)]
+
+
+def thue_morse(n, a="a", b="b"):
+    """n letters (a power of two), and the same with the letters changed over: texts on which sums of powers modulo 2**64 agree."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return [a if x else b for x in bits], [b if x else a for x in bits]
+
+
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_texts_that_rolling_sums_confuse(spark, hot):
+    rows, start = [], prose(77, 80)
+    for k, n in enumerate((1024, 2048)):
+        one, other = ("".join(t) for t in thue_morse(n))
+        rows += [(10 * k + 1, " ".join([*start[:30], one, *start[30:49]])), (10 * k + 2, " ".join([*start[:30], other, *start[30:49]]))]
+        # As words, and behind and before the same text: equal windows stand beside unequal ones.
+        rows += [(10 * k + 3 + i, " ".join([*start, *t, *start])) for i, t in enumerate(thue_morse(n))]
+    got = substring.dedup_substrings(frame(spark, rows), hot=hot)
+    want = sorted(words_expected(rows, 50), key=repr)
+    assert found(got, ["doc_id", "n_words", "n_removed", "kept_sha256"]) == want
+    assert all(r[2] == 0 for r in want if r[0] in (1, 2))
+    got = suffix.dedup_bytes(frame(spark, rows), hot=hot)
+    assert found(got, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]) == sorted(bytes_expected(rows, 200), key=repr)
+
+
+def test_range_hashes_tell_thue_morse_texts_apart():
+    from lakeledger.llm.common import byte_values, prefix_hash, range_hash
+    for n in (1024, 2048, 4096):
+        for values in (byte_values, lambda d: byte_values(d) ^ (byte_values(d) >> np.uint64(7))):
+            h = [int(range_hash(prefix_hash(values(np.frombuffer("".join(t).encode(), np.uint8))), np.array([0]), np.array([n]))[0]) for t in thue_morse(n)]
+            assert h[0] != h[1]
+    text = np.frombuffer(b"xx" + b"some words" * 3 + b"y", np.uint8)
+    sums = prefix_hash(byte_values(text))
+    assert range_hash(sums, np.array([2]), np.array([12]))[0] == range_hash(sums, np.array([12]), np.array([22]))[0]
