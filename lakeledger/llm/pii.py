@@ -1,10 +1,13 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
 
 The patterns give the base spans (``base_spans``). The field labels words as the beginning or inside of a kind or as
-other; its features are hashed shapes of a word and its neighbours, so it also finds data that the patterns miss, such as a
-telephone number in another notation. It is trained on a small labelled table (``labelled_words``: at most ``TRAIN_DOCUMENTS``
-documents, and of them at most ``TRAIN_SEQUENCES`` sequences, labelled by the patterns) and decoded by Viterbi over
-numpy batches. A word can only be labelled near a word with a digit or an @; sequences are the
+other; its features are hashed shapes of a word and its neighbours and the words before it, so it also finds data that the patterns
+miss: addresses with a written "at" or blanks, numbers without a plus or in other groups, and secrets (tokens and keys), a kind of its own.
+
+It is trained on a small labelled table (``labelled_words``: at most ``TRAIN_DOCUMENTS`` documents, and of them at
+most ``TRAIN_SEQUENCES`` sequences). Its labels come from the patterns, from the same data rewritten into forms that the patterns do
+not take (``rewritten``), and from assignments of long values to names like token or password (``secret_spans``). Decoding is
+Viterbi over numpy batches. A word can only be labelled near a word with a digit or an @ (or a written one); sequences are the
 stretches of at most ``REACH`` words around those. Base spans always stay; the field adds spans that overlap no base span
 and hold what their kind needs (``plausible``).
 
@@ -25,14 +28,18 @@ from pyspark.sql import functions as F
 from lakeledger.llm.common import bounded_sample, free_name, materialise, share
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
+#: The field knows one kind more than the patterns.
+ALL_KINDS = (*KINDS, "secret")
+LABELS = ["O", *[f"{p}-{k}" for k in ALL_KINDS for p in "BI"]]
 TRAIN_DOCUMENTS = 8000
 TRAIN_SEQUENCES = 3000
 REACH = 2
 BUCKETS = 1 << 13
 PADDED = 60_000
 
-_TRIGGER = re.compile("[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
+_WRITTEN_AT = re.compile(r"@|[(\[]at[)\]]")
+_SECRET = re.compile(r"(?i)\b(?:token|secret|passwd|password|pwd|api[ _-]?key|access[ _-]?key)\b[\x20]{0,3}[=:][\x20]{0,3}[\"']?([A-Za-z0-9+/_.=-]{12,})")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -78,8 +85,32 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return spans
 
 
+def secret_spans(text: str) -> list[tuple[int, int, int]]:
+    """Values that a name like token or password is given; only the labelled table uses them."""
+    return [(4, m.start(1), m.end(1)) for m in _SECRET.finditer(text) if secret_like(m[1])]
+
+
+def secret_like(piece: str) -> bool:
+    return len(piece) >= 12 and not any(c.isspace() for c in piece) and any(c.isdigit() for c in piece) and any(c.isalpha() for c in piece)
+
+
+def rewritten(kind: int, piece: str) -> list[str]:
+    """A pattern's match in forms that the patterns do not take."""
+    if kind == 0:
+        local, domain = piece.rsplit("@", 1)
+        return [f"{local} (at) {domain}", f"{local}[at]{domain}", f"{local} @ {domain}"]
+    if kind == 1:
+        return [piece.replace(".", "[.]"), piece.replace(".", " . ")]
+    d = _digits(piece)
+    if kind == 2:
+        groups = [d[i:i + 4] for i in range(0, len(d), 4)]
+        return [".".join(groups), "/".join(groups), " - ".join(groups)]
+    own = d[2:]
+    return [f"00{d[:2]} {own[:3]} {own[3:]}", f"(0{own[:2]}) {own[2:5]} {own[5:]}", f"0{own[:3]}/{own[3:]}", f"0{own[:3]}-{own[3:6]}-{own[6:]}"]
+
+
 def as_text(spans) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
+    return ",".join(f"{ALL_KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
 # --- words, shapes, sequences ----------------------------------------------------
@@ -124,7 +155,10 @@ class Features:
     def facts(self, word: str) -> tuple:
         s = shape(word)
         digits = len(_digits(word))
-        return s, re.sub(r"[0-9M]", "", s), word[0], word[-1] if not word[-1].isalnum() else "x", min(digits, 20), "@" in word, min(word.count("."), 4)
+        runs = re.sub(r"[0-9M]", "", s)
+        mixture = min(len(word) // 6, 6), min(len(runs) // 4, 6)
+        name = word.lower().strip(":=\"'.,") if len(word) <= 12 else ""
+        return s, runs[:12], word[0], word[-1] if not word[-1].isalnum() else "x", min(digits, 20), "@" in word, min(word.count("."), 4), mixture, name if name.isalpha() else ""
 
     def bucket(self, key: tuple) -> int:
         known = self.buckets.get(key)
@@ -139,8 +173,10 @@ class Features:
         out = []
         for i in range(1, len(facts) - 1):
             f, before, after = facts[i], facts[i - 1], facts[i + 1]
+            earlier = facts[i - 2] if i > 1 else None
             keys = [("s", f[0]), ("c", f[1]), ("a", f[2] if not f[2].isalpha() else "x"), ("z", f[3]), ("n", f[4]), ("@", f[5]), (".", f[6]),
-                    ("b", before and before[1]), ("f", after and after[1]), ("bn", before and before[4], f[4]), ("fn", after and after[4], f[4])]
+                    ("b", before and before[1]), ("f", after and after[1]), ("bn", before and before[4], f[4]), ("fn", after and after[4], f[4]),
+                    ("m", f[7]), ("w", before and before[8]), ("ww", earlier and earlier[8], before and before[1])]
             out.append([self.bucket(k) for k in keys])
         return out
 
@@ -270,6 +306,22 @@ def fit(batch: list[list[list[int]]], labels: list[list[int]], rounds: int = 80,
     return Field(emit.astype(np.float32), move.astype(np.float32), start.astype(np.float32))
 
 
+#: Code points of context that a rewritten form keeps on each side.
+CONTEXT = 60
+
+
+def other_forms(text: str, span: tuple[int, int, int]) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """A span's surroundings with the span in other forms, each with its spans."""
+    kind, a, b = span
+    left, right = text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]
+    out = []
+    for form in rewritten(kind, text[a:b]):
+        t = f"{left}{form}{right}"
+        own = (kind, len(left), len(left) + len(form))
+        out.append((t, [own] + [s for s in base_spans(t) + secret_spans(t) if s[2] <= own[1] or s[1] >= own[2]]))
+    return out
+
+
 def labelled_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_documents: int = TRAIN_DOCUMENTS, n_sequences: int = TRAIN_SEQUENCES) -> DataFrame:
     """The small labelled table: (place, words, labels), at most ``n_sequences`` rows, by the hash of their words."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -280,8 +332,10 @@ def labelled_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             for text in batch.column(0):
                 text = text.as_py() or ""
-                out = [(hashlib.md5(" ".join(words).encode()).hexdigest(), words, gold(seq, spans))
-                       for seq, spans in beside(sequences(text), base_spans(text)) if len(seq) <= 60 for words in ([text[a:b] for a, b in seq],)]
+                spans = base_spans(text)
+                given = [(text, spans + secret_spans(text))] + [c for s in spans for c in other_forms(text, s)]
+                out = [(hashlib.md5(" ".join(words).encode()).hexdigest(), words, gold(seq, near))
+                       for t, s in given for seq, near in beside(sequences(t), s) if len(seq) <= 60 for words in ([t[a:b] for a, b in seq],)]
                 if out:
                     a, b, c = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.list_(pa.string())), pa.array(c, pa.list_(pa.int32()))], names=["place", "words", "labels"])
@@ -302,12 +356,16 @@ def train(labelled: DataFrame) -> Field | None:
 def plausible(kind: int, piece: str) -> bool:
     n = len(_digits(piece))
     if kind == 0:
-        return "@" in piece[1:-1]
+        at = _WRITTEN_AT.search(piece, 1)
+        return at is not None and "." in piece[at.end():].strip()[1:-1]
     if kind == 1:
-        return piece.count(".") >= 3 and n >= 4
+        parts = re.findall("[0-9]+", piece)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) and not any(c.isalpha() for c in piece)
     if kind == 2:
-        return 13 <= n <= 19 and luhn(_digits(piece))
-    return 9 <= n <= 15
+        return 13 <= n <= 19 and luhn(_digits(piece)) and not any(c.isalpha() for c in piece)
+    if kind == 3:
+        return 9 <= n <= 15 and piece[0] in "+(0" and not any(c.isalpha() for c in piece)
+    return secret_like(piece)
 
 
 def field_spans(text: str, words, labels) -> list[tuple[int, int, int]]:
