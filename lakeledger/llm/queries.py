@@ -44,6 +44,13 @@ def op9(spark, sf):
     return op9_frame(documents(spark, sf), documents(spark, sf, "benchmark"))
 
 
+@_register("op9_proximity")
+def op9_proximity(spark, sf):
+    """The proximity half of operator 9: documents with benchmark windows whose words stand one place off at most."""
+    out = D.decontaminate(documents(spark, sf), documents(spark, sf, "benchmark"), slop=1)
+    return out.select("doc_id", "n_words", "n_hit", "n_near", "contaminated")
+
+
 @_register("op10_substring_dedup")
 def op10(spark, sf):
     return SUB.dedup_substrings(documents(spark, sf)).drop("kept")

@@ -35,7 +35,7 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
 
 
 def fixture_folder(spark):
