@@ -784,3 +784,14 @@ def report_detail_pages(spark, sf):
     for page in R.detail_pages(tables.scan_table(spark, lake.gold("produtos")), G.PRODUCT_KEYS, 200, **STD_FILTER):
         out = page if out is None else out.unionByName(page)
     return out
+
+
+@register("gold_product_bucketed", ORACLE["gold_product"])
+def gold_product_bucketed(spark, sf):
+    """The product summary from copies that are bucketed and sorted on its keys: no exchange but that of the writes."""
+    from lakeledger.sources import bucketed
+
+    folder = f"{new_lake(spark, 'bucketed').root}/copies"
+    for source in ("devolucao", "estoque", "vendas"):
+        bucketed.write_bucketed(spark, folder, source, TD.BUILDERS[source](spark, sf))
+    return bucketed.product_summary(spark, folder)

@@ -89,3 +89,10 @@ def df_run(df):
     """``df``, run to its end so that its adaptive plan is the one that ran."""
     df._jdf.queryExecution().executedPlan().execute().count()
     return df
+
+
+def test_bucketed_summary_has_no_exchange(spark):
+    df = QUERIES["gold_product_bucketed"](spark, SF_SMALL)
+    p = plan(df)
+    assert "Exchange" not in p and "Bucketed: true" in p
+    assert df.count() == QUERIES["gold_product"](spark, SF_SMALL).count()
