@@ -20,6 +20,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,9 +156,15 @@ def export_daily(spark: SparkSession, df: DataFrame, lake: Lake, spec: SourceSpe
     fs = _FS(spark, lake.root)
     base = lake.bronze_dir(spec)
     stage = f"{base}/_export-{uuid.uuid4().hex[:12]}"
-    (df.withColumn("_dia", dated).hint("rebalance", "_dia")
-       .write.mode("overwrite").option("header", True)
-       .partitionBy("_dia").csv(stage))
+    try:
+        (df.withColumn("_dia", dated).hint("rebalance", "_dia")
+           .write.mode("overwrite").option("header", True)
+           .partitionBy("_dia").csv(stage))
+    except PySparkException as e:
+        fs.delete(stage)
+        if "belong to no daily file" in str(e):
+            raise ValueError(f"{spec.name}: rows without {spec.date_column} belong to no daily file") from e
+        raise
     days = []
     for name, is_dir in fs.children(stage):
         if is_dir and name.startswith("_dia="):

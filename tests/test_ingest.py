@@ -53,7 +53,7 @@ def test_scan_binds_by_header_name(spark, lake):
                   "99.99,1,RJ02,8,2025-09-20,web\n")
     df = scan_csv(spark, [a, b], VENDAS)
     assert df.columns == VENDAS.column_names + ["canal"]
-    assert dict(df.dtypes)["valor_unitario"] == "decimal(20,4)"
+    assert dict(df.dtypes)["valor_unitario"] == "decimal(18,4)"
     got = rows(df.select(*VENDAS.column_names, F.col("canal")))
     assert [r[:5] for r in got] == [
         (dt.date(2025, 9, 19), 7, "SP01", 3, Decimal("10.50")),
