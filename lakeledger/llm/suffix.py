@@ -167,24 +167,35 @@ def _hot_shards(width):
 
 
 def _merge(batches):
-    """Sorted fingerprint runs of several shards: each single window is looked up by binary search."""
-    tables = list(batches)
-    if not tables:
-        return
-    t = pa.Table.from_batches(tables)
-    f1, f2 = t["f1"].to_numpy(), t["f2"].to_numpy()
-    order = np.lexsort((f2, f1))
-    both = np.empty(len(f1), [("a", np.int64), ("b", np.int64)])
-    both["a"], both["b"] = f1[order], f2[order]
-    single = np.flatnonzero(t["kind"].to_numpy()[order] == _SINGLE)
-    lo, hi = np.searchsorted(both, both[single], "left"), np.searchsorted(both, both[single], "right")
-    out = t.take(pa.array(order[single[hi - lo > 1]])).select(["key", "seg", "off"])
-    yield from out.to_batches()
+    """Fingerprints of several shards in sorted order, a batch at a time: each single window is looked up by binary search in its
+    batch. Of a fingerprint that may go on in the next batch only the value is kept, and its window while it is the only one."""
+    last, alone = None, None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        both = np.empty(n, [("a", np.int64), ("b", np.int64)])
+        both["a"], both["b"] = batch.column("f1").to_numpy(), batch.column("f2").to_numpy()
+        rows = batch.select(["key", "seg", "off"])
+        is_single = batch.column("kind").to_numpy() == _SINGLE
+        single = np.flatnonzero(is_single)
+        lo, hi = np.searchsorted(both, both[single], "left"), np.searchsorted(both, both[single], "right")
+        again = hi - lo > 1
+        goes_on = both[0].item() == last
+        if goes_on:
+            again |= lo == 0
+            if alone is not None:
+                yield alone
+        yield rows.take(pa.array(single[again]))
+        last = both[-1].item()
+        begin = int(np.searchsorted(both, both[-1], "left"))
+        alone = rows.slice(n - 1) if begin == n - 1 and is_single[-1] and not (goes_on and begin == 0) else None
 
 
 def _split(hot: DataFrame, width: int) -> DataFrame:
     rows = S.materialise(hot.select("key", "seg", "first", "text").repartition(F.col("seg")).mapInArrow(_hot_shards(width), _HOT), "hot-shards")
-    across = rows.filter(F.col("kind") < _REPEAT).repartition("f1").mapInArrow(_merge, "key long, seg long, off int")
+    across = (rows.filter(F.col("kind") < _REPEAT).repartition("f1").sortWithinPartitions("f1", "f2")
+              .mapInArrow(_merge, "key long, seg long, off int"))
     inside = rows.filter(F.col("kind") > _SINGLE).select("key", "seg", "off")
     return across.unionByName(inside).groupBy("key", "seg").agg(F.collect_list(F.struct("off", F.lit(1).alias("n"))).alias("runs"))
 

@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import empty, frame, odd_rows, prose, with_extras
 from hypothesis import given, settings
@@ -161,3 +162,22 @@ def test_range_hashes_tell_thue_morse_texts_apart():
     text = np.frombuffer(b"xx" + b"some words" * 3 + b"y", np.uint8)
     sums = prefix_hash(byte_values(text))
     assert range_hash(sums, np.array([2]), np.array([12]))[0] == range_hash(sums, np.array([12]), np.array([22]))[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(-2, 2), st.integers(0, 1), st.sampled_from([suffix._SINGLE, suffix._PROOF])), max_size=24), st.integers(1, 5))
+def test_merge_gives_the_same_whatever_the_batches(found, size):
+    """A fingerprint whose rows are spread over batches is one fingerprint; every single window of one that stands twice comes once."""
+    found = sorted(found, key=lambda r: r[:2])
+    times = Counter(r[:2] for r in found)
+    expected = [i for i, r in enumerate(found) if r[2] == suffix._SINGLE and times[r[:2]] > 1]
+    batches = []
+    for at in range(0, len(found), size):
+        f1, f2, kind = zip(*found[at:at + size])
+        seg = range(at, at + len(f1))
+        batches.append(pa.RecordBatch.from_arrays(
+            [pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(seg, pa.int64()), pa.array(seg, pa.int64()),
+             pa.array(seg, pa.int32()), pa.array(kind, pa.int32())], names=["f1", "f2", "key", "seg", "off", "kind"]))
+        batches.append(batches[-1].slice(0, 0))
+    got = [s for b in suffix._merge(batches) for s in b.column("seg").to_pylist()]
+    assert sorted(got) == expected
