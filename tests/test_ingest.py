@@ -16,7 +16,7 @@ from lakeledger.plans import pipeline
 from lakeledger.schemas import GOLDS, SOURCES, Lake
 from lakeledger.sources import tables
 from lakeledger.sources import testdata as TD
-from lakeledger.sources.bronze import daily_path, export_daily, scan_csv
+from lakeledger.sources.bronze import FILE_DAY, daily_path, export_daily, scan_csv
 
 VENDAS = SOURCES["vendas"]
 DEV = SOURCES["devolucao"]
@@ -301,6 +301,21 @@ def test_an_amount_with_too_many_decimals_fails(spark, lake):
         scan_csv(spark, p, VENDAS).collect()
 
 
+def test_patterns_are_left_out_for_plain_amounts_and_paths(spark, lake):
+    header = "data_venda,produto_id,filial_id,quantidade,valor_unitario\n"
+    odd = Lake(f"{lake.root}/first.csv")  # the first ".csv" of the path is not the daily file's
+    paths = [write_csv(at, VENDAS, "2025-09-19", header + f"2025-09-19,7,SP01,3,{amount}\n")
+             for at, amount in ((lake, " 10.5000"), (odd, "1.23400000"))]
+    df = scan_csv(spark, paths, VENDAS, with_file_day=True)
+    assert rows(df.select("valor_unitario", FILE_DAY)) == [
+        (Decimal("1.2340"), dt.date(2025, 9, 19)), (Decimal("10.5000"), dt.date(2025, 9, 19))]
+    # A pattern costs more than reading the row does: it stands only behind a cheaper test.
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    money = plan[plan.index("CASE WHEN"):]
+    assert "instr" in money.split(" THEN ")[0] and "regexp_extract" not in money.split(" THEN ")[0]
+    assert "coalesce(try_cast(replace(substring(substring_index(" in plan
+
+
 def test_export_refuses_rows_without_a_date(spark, lake):
     spec = SOURCES["tributos"]
     df = TD.tributos(spark, SF_SMALL).limit(5)
