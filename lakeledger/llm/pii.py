@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import bounded_sample, free_name, materialise, share
+from lakeledger.llm.ngrams import slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: The field knows one kind more than the patterns.
@@ -388,6 +389,24 @@ def field_spans(text: str, words, labels) -> list[tuple[int, int, int]]:
     return out
 
 
+def spans_of(texts: list[str], features: Features, model: Field | None) -> tuple[list, list]:
+    """Base spans and all spans of each text."""
+    base = [base_spans(t) for t in texts]
+    owners, words, feats = [], [], []
+    for i, t in enumerate(texts):
+        for seq in sequences(t) if model else ():
+            owners.append(i)
+            words.append(seq)
+            feats.append(features.of([t[a:b] for a, b in seq]))
+    every, covered = [list(b) for b in base], [Covered(b) for b in base]
+    for i, seq, labels in zip(owners, words, model.viterbi(feats) if feats else ()):
+        if labels.any():
+            for k, a, b in field_spans(texts[i], seq, labels):
+                if covered[i].add(a, b):
+                    every[i].append((k, a, b))
+    return base, every
+
+
 def find(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFrame:
     """``docs`` (all columns) with counts of base spans (n_email, n_ip, n_card, n_phone), base (spans as text) and spans (all spans as text)."""
     shared = share(docs.sparkSession, field)
@@ -395,20 +414,7 @@ def find(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFr
     def run(batches):
         features, model = Features(), shared()
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(batch.num_columns - 1)]
-            base = [base_spans(t) for t in texts]
-            owners, words, feats = [], [], []
-            for i, t in enumerate(texts):
-                for seq in sequences(t) if model else ():
-                    owners.append(i)
-                    words.append(seq)
-                    feats.append(features.of([t[a:b] for a, b in seq]))
-            every, covered = [list(b) for b in base], [Covered(b) for b in base]
-            for i, seq, labels in zip(owners, words, model.viterbi(feats) if feats else ()):
-                if labels.any():
-                    for k, a, b in field_spans(texts[i], seq, labels):
-                        if covered[i].add(a, b):
-                            every[i].append((k, a, b))
+            base, every = spans_of([t.as_py() or "" for t in batch.column(batch.num_columns - 1)], features, model)
             counts = [pa.array([sum(s[0] == k for s in b) for b in base], pa.int64()) for k in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counts, pa.array([as_text(b) for b in base]), pa.array([as_text(sorted(e)) for e in every])],
                                              names=[*batch.schema.names[:-1], "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
@@ -421,23 +427,25 @@ def find(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFr
 
 def redact(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by its kind in brackets (overlapping spans by the kind that begins first);
-    null texts stay null."""
-    @F.pandas_udf("string")
-    def replaced(texts, spans):
-        def one(text, listed):
-            if text is None or not listed:
-                return text
-            found = sorted((int(a), int(b), kind) for kind, a, b in (s.split(":") for s in listed.split(",")))
-            out, at = [], 0
-            for a, b, kind in found:
-                if a >= at:
-                    out += [text[at:a], f"[{kind.upper()}]"]
-                at = max(at, b)
-            return "".join([*out, text[at:]])
-        return texts.combine(spans, one)
-
-    # Only ids of columns travel through ``find``: an input may have columns named like its results.
-    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    found = find(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), field, names[text_col])
-    found = found.withColumn(names[text_col], replaced(F.col(names[text_col]), F.col("spans")))
-    return found.select(*[F.col(n).alias(c) for c, n in names.items()])
+    null texts stay null. Spans are found and replaced by one function, so a task has one worker process, which
+    holds the words of one slice of texts at a time."""
+    shared, place = share(docs.sparkSession, field), docs.columns.index(text_col)
+
+    def replaced(text, spans):
+        out, at = [], 0
+        for a, b, kind in sorted((a, b, ALL_KINDS[k]) for k, a, b in spans):
+            if a >= at:
+                out += [text[at:a], f"[{kind.upper()}]"]
+            at = max(at, b)
+        return "".join([*out, text[at:]]) if spans else text
+
+    def run(batches):
+        features, model = Features(), shared()
+        for batch in batches:
+            for at, texts in slices(batch.column(place)):
+                _, every = spans_of([t or "" for t in texts], features, model)
+                columns = batch.slice(at, len(texts)).columns
+                columns[place] = pa.array([replaced(t, s) for t, s in zip(texts, every)], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))

@@ -229,6 +229,17 @@ def test_spans_and_sequences_are_walked_once():
     assert all(not inside[a] for a, f in zip(range(0, len(text), 7), free) if f)
 
 
+def test_redaction_has_one_worker_for_a_task(spark):
+    texts = ["mail me@here.org now", "", "call +49 30 1234567 please"] * 2000
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate([*texts, None])], "doc_id long, text string, spans long").coalesce(1)
+    out = pii.redact(df, None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan  # each would keep a worker process of its own
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [
+        (i, t, i) for i, t in enumerate([*["mail [EMAIL] now", "", "call [PHONE] please"] * 2000, None])]
+
+
 def test_redaction(spark):
     df = frame(spark, [(1, "write a@b.co, from 1.2.3.4!"), (2, None), (3, "nothing")])
     assert {r["doc_id"]: r["text"] for r in pii.redact(df, None).collect()} == {1: "write [EMAIL], from [IP]!", 2: None, 3: "nothing"}
