@@ -79,6 +79,76 @@ def test_tokenize_frame_and_round_trip(spark, library):
     assert bpe.tokenize(empty(spark), PATH).collect() == []
 
 
+def odd_words(rng, n):
+    """Words as the pattern matches them: parts of the vocabulary's kind of letters, runs, marks, other scripts, long ones."""
+    parts = ["the", "tion", "ing", "an", "er", "re", "on", "a", "b", "ab", "aa", "é", "ñ", "σ", "日", "本", "x", "q", "zz"]
+    made = {"".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(n)}
+    return sorted(made | {"!" * k for k in range(1, 70)} | {"a" * k for k in range(1, 70)} | {"'s", "7", "½", "x" * 500, "語" * 40, "\x00"})
+
+
+def test_words_side_by_side_are_encoded_as_alone_and_as_by_the_library(library):
+    vocabulary = bpe.load(PATH).prepare()
+    words = odd_words(random.Random(7), 3000)
+    tokens, count = vocabulary._encode_together(words)
+    ends = count.cumsum().tolist()
+    for w, n, end in zip(words, count.tolist(), ends):
+        assert tokens[end - n:end].tolist() == vocabulary._encode_alone(w), w
+        assert [vocabulary.ids[t] for t in tokens[end - n:end]] == library.encode(w, add_special_tokens=False).ids, w
+
+
+def test_new_words_of_a_slice_are_encoded_in_one_go(library, monkeypatch):
+    """One pass for all new short words of a slice, none for words that are known; long words go alone and are not held."""
+    vocabulary = bpe.load(PATH).prepare()
+    calls, alone = [], []
+    together, one = vocabulary._encode_together, vocabulary._encode_alone
+    monkeypatch.setattr(vocabulary, "_encode_together", lambda words: calls.append(len(words)) or together(words))
+    monkeypatch.setattr(vocabulary, "_encode_alone", lambda word: alone.append(word) or one(word))
+    words = odd_words(random.Random(11), 2000)
+    texts = [" ".join(words[k::20]) + " <|endoftext|>" * (k % 3) for k in range(20)] * 2
+    for _ in range(2):
+        for text, found in zip(texts, vocabulary.entries_of(texts), strict=True):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert " ".join(x[0] for x in found) == " ".join(map(str, want))
+            assert sum(x[1] for x in found) == len(want)
+            assert " ".join(x[2] for x in found) == library.decode(want, skip_special_tokens=False)
+    assert len(calls) == 1 and calls[0] > 1500
+    assert all(len(w.encode()) > bpe.LONG_WORD for w in alone)
+    assert max(len(w) for w in vocabulary.known if isinstance(w, str)) <= bpe.LONGEST_HELD
+
+
+def test_small_tables_of_words_and_pairs_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_TABLE", 50)
+    monkeypatch.setattr(bpe, "PAIR_TABLE", 8)
+    vocabulary = bpe.load(PATH).prepare()
+    words = odd_words(random.Random(13), 600)
+    for k in range(0, len(words), 30):
+        texts = [" ".join(words[k:k + 30]), "the end <|endoftext|>", ""]
+        for text, found in zip(texts, vocabulary.entries_of(texts), strict=True):
+            assert [int(i) for x in found for i in x[0].split()] == library.encode(text, add_special_tokens=False).ids
+        assert len(vocabulary.known) <= 50 + 40
+
+
+def test_words_of_ascii_texts_are_those_of_the_full_pattern(vocabulary):
+    rng = random.Random(17)
+    assert vocabulary.ascii_words is not vocabulary.words
+    texts = [chr(a) + chr(b) for a in range(128) for b in range(128)]
+    texts += ["".join(rng.choice("'strevmld 0a\x1c\x0b\t|_") for _ in range(40)) for _ in range(2000)]
+    for t in texts:
+        assert vocabulary.ascii_words.findall(t.lower()) == vocabulary.words.findall(t.lower()), repr(t)
+
+
+def test_slices_hold_rows_and_text_within_bounds(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "ROWS", 4)
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 100)
+    texts = [None, "", "x" * 60, "é" * 30, "y" * 500, "z" * 99, "a", "b", "c", "d", "e", None]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts) + 2)), pa.array(["u", "v", *texts])], names=["doc_id", "text"])
+    got = [s.column(1).to_pylist() for s in bpe._slices(whole.slice(2))]
+    assert [t for s in got for t in s] == texts
+    assert all(len(s) <= 4 and (len(s) == 1 or sum(len((t or "").encode()) for t in s) <= 100) for s in got)
+
+
 def test_a_vocabulary_beyond_the_bound_is_refused(monkeypatch):
     monkeypatch.setattr(bpe, "LARGEST_VOCABULARY", 10)
     with pytest.raises(ValueError):
