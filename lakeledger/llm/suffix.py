@@ -55,22 +55,23 @@ def _words(data: np.ndarray, pad: int, high_first: bool) -> np.ndarray:
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
-    """Larsson-Sadakane: sort by 8 bytes, then refine the groups that are still tied."""
+    """Larsson-Sadakane: sort by 8 bytes, then refine the groups that are still tied. What lies past the end is
+    greater than all text, as in the sorted bytes, and the greater the further: one order at any depth."""
     n = len(data)
     key = _words(data, 0, high_first=True)
     sa = np.argsort(key)
     first = np.ones(n, bool)
     first[1:] = key[sa[1:]] != key[sa[:-1]]
     del key
-    rank = np.full(n + 1, -1, np.int64)
+    rank = np.empty(n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     h = 8
     while True:
         tied = np.flatnonzero(~first | np.append(~first[1:], False))
-        if not len(tied) or h > n:  # past the end all is the same
+        if not len(tied):
             return sa
         at = sa[tied]
-        pair = rank[at] * (n + 1) + rank[np.minimum(at + h, n)] + 1
+        pair = rank[at] * (n + h) + np.where(at + h < n, rank[np.minimum(at + h, n - 1)], at + h)
         order = np.argsort(pair)
         pair, at = pair[order], at[order]
         sa[tied] = at

@@ -1,6 +1,7 @@
 """Byte and word substring deduplication against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -113,6 +114,22 @@ def test_suffix_array_and_common_prefixes(text):
         assert min(true, 12) == lcp[k] or true == min(len(a), len(b))  # at the end the gap may go on
 
 
+def test_suffixes_have_one_order_up_to_the_end_of_the_text():
+    """A tie that ends where the text ends was put first, others last; the prefixes were then carried to other neighbours."""
+    rng = random.Random(29)
+    texts = ["\xffbba\xff\xff\xff\xffbba", "\xff" * 20, "abababab" * 3, "abcdefg\xffxyzabcdefg\xff"]
+    texts += ["".join(rng.choice("ab\xff") for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    for text in texts:
+        data = np.frombuffer(text.encode("latin-1"), np.uint8)
+        raw = data.tobytes()
+        sa = suffix.suffix_array(data).tolist()
+        assert sa == sorted(range(len(raw)), key=lambda i: [*raw[i:], 256]), text
+        lcp = suffix.common_prefixes(data, np.array(sa), 12, steps=7).tolist()
+        for a, b, got in zip(sa, sa[1:], lcp[1:]):
+            pairs = zip((raw[a:] + b"\xff" * 12)[:12], (raw[b:] + b"\xff" * 12)[:12])
+            assert got == next((i for i, (x, y) in enumerate(pairs) if x != y), 12), (text, a, b)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 4), min_size=1, max_size=60), st.integers(1, 9))
 def test_window_ranks_and_minima(values, width):
