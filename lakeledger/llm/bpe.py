@@ -133,8 +133,8 @@ class Vocabulary:
 
     def _build_automaton(self, number: dict[str, int]) -> None:
         """Aho-Corasick over the reversed tokens: ``follow`` gives the state after a state's row and a code, ``row`` the row
-        of a state (that of its suffix link, if no token goes on from it), ``longest`` the longest token that
-        begins where the state was reached (-1: none)."""
+        of a state (that of its suffix link, if no token goes on from it, or only by the code ``only``, to the state
+        ``then``), ``longest`` the longest token that begins where the state was reached (-1: none)."""
         codes = {c: b for b, c in enumerate(byte_characters())} | {END: END_CODE}
         whole = {t[::-1]: k for t, k in number.items()}
         heads = sorted({t[:n] for t in whole for n in range(len(t) + 1)}, key=lambda t: (len(t), t))
@@ -142,26 +142,46 @@ class Vocabulary:
         above = np.array([place[t[:-1]] for t in heads])
         code = np.array([0, *(codes[t[-1]] for t in heads[1:])])
         depth = np.array([len(t) for t in heads])
-        inner = np.zeros(len(heads), bool)
-        inner[above] = True
-        self.row = np.cumsum(inner, dtype=np.int32) - 1
-        self.follow = np.zeros((int(inner.sum()), END_CODE + 1), np.int32)
+        children = np.bincount(above[1:], minlength=len(heads))
+        last_child = np.zeros(len(heads), np.int32)
+        last_child[above] = np.arange(len(heads))
+        self.only = np.full(len(heads), -1, np.int16)
+        self.then = np.zeros(len(heads), np.int32)
+        self.row = np.zeros(len(heads), np.int32)
+        self.follow = np.zeros((int((children > 0).sum()), END_CODE + 1), np.int32)  # unused rows take no memory
+        rows = 1
         self.longest = np.array([whole.get(t, -1) for t in heads], np.int32)
         link = np.zeros(len(heads), np.int64)
         bounds = np.searchsorted(depth, np.arange(depth[-1] + 2))
         for d in range(depth[-1] + 1):
             level = np.arange(bounds[d], bounds[d + 1])
             if d > 1:
-                link[level] = self.follow[self.row[link[above[level]]], code[level]]
+                link[level] = self._step(link[above[level]], code[level])
             if d:
                 none = level[self.longest[level] < 0]
                 self.longest[none] = self.longest[link[none]]
-                leaves, nodes = level[~inner[level]], level[inner[level]]
+                # a state whose link has a code of its own shares it without a token that goes on, else needs a row
+                plain = self.only[link[level]] < 0
+                share = (children[level] == 0) | ((children[level] == 1) & plain)
+                leaves, nodes = level[share], level[~share]
                 self.row[leaves] = self.row[link[leaves]]
+                end = children[leaves] == 0
+                self.only[leaves] = np.where(end, self.only[link[leaves]], code[last_child[leaves]])
+                self.then[leaves] = np.where(end, self.then[link[leaves]], last_child[leaves])
+                self.row[nodes] = np.arange(rows, rows + len(nodes))
+                rows += len(nodes)
                 self.follow[self.row[nodes]] = self.follow[self.row[link[nodes]]]
+                own = nodes[self.only[link[nodes]] >= 0]
+                self.follow[self.row[own], self.only[link[own]]] = self.then[link[own]]
             if d < depth[-1]:
                 below = np.arange(bounds[d + 1], bounds[d + 2])
+                below = below[self.only[above[below]] < 0]
                 self.follow[self.row[above[below]], code[below]] = below
+        self.rows = rows
+
+    def _step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The states after states and codes, side by side."""
+        return np.where(self.only[state] == code, self.then[state], self.follow[self.row[state], code])
 
     def _compatible(self, a: int, b: int, below: int | None = None) -> bool:
         """Whether a before b stays as it is: no merge across their border comes before
@@ -204,10 +224,10 @@ class Vocabulary:
     def _encode_alone(self, word: str) -> list[int]:
         """Numbers of the tokens of one word."""
         codes = [*word.encode(), END_CODE] if self.suffix else [*word.encode()]
-        row, follow, longest = self.row, self.follow, [-1] * len(codes)
+        row, follow, only, then, longest = self.row, self.follow, self.only, self.then, [-1] * len(codes)
         state = 0
         for i in range(len(codes) - 1, -1, -1):
-            state = follow[row[state], codes[i]]
+            state = then[state] if only[state] == codes[i] else follow[row[state], codes[i]]
             longest[i] = state
         longest = self.longest[longest].tolist()
         open_ = [True] * (len(codes) + 1)
@@ -254,7 +274,7 @@ class Vocabulary:
         state = np.zeros(len(words), np.int32)
         for back, n in enumerate(reach.tolist()):
             at = last[:n] - back
-            state = self.follow[self.row[state[:n]], codes[at]]
+            state = self._step(state[:n], codes[at])
             longest[at] = self.longest[state]
         # backtracking; a step tries one token of each word that is not done
         taken = np.empty(len(codes), np.int32)
