@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import threading
 from decimal import Decimal
 
 import pytest
@@ -15,6 +16,7 @@ from lakeledger.plans import gold as gold_jobs
 from lakeledger.schemas import SOURCES
 from lakeledger.sources import tables
 from lakeledger.sources.bronze import daily_path
+from lakeledger.streaming import bronze_watch
 from lakeledger.streaming.bronze_watch import catch_up_lake
 
 D1, D2 = "2025-09-18", "2025-09-19"
@@ -62,6 +64,28 @@ def test_dates_that_rows_leave_are_refreshed_too(spark, lake):
     assert (dt.date(2025, 9, 18), 1, 8, 5, 6.0) in got and (dt.date(2025, 9, 18), 2, 9, 1, 3.0) in got
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_a_large_batch_loads_few_sources_side_by_side(spark, lake, monkeypatch, small):
+    first_days(lake)
+    running, most, lock, load = [0], [0], threading.Lock(), bronze_watch.ingest_jobs.ingest_range
+
+    def counted(*args, **kwargs):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return load(*args, **kwargs)
+        finally:
+            with lock:
+                running[0] -= 1
+    monkeypatch.setattr(bronze_watch.ingest_jobs, "ingest_range", counted)
+    if not small:
+        monkeypatch.setattr(bronze_watch, "SMALL_BATCH", 1)
+    catch_up_lake(spark, lake, checkpoint=f"{lake.root}/_s")
+    assert most[0] > bronze_watch.LOADS_AT_ONCE if small else 1 <= most[0] <= bronze_watch.LOADS_AT_ONCE
+    assert summary(spark, lake) == recomputed(spark, lake) and len(summary(spark, lake)) == 4
+
+
 @pytest.mark.parametrize("broken", ["before_gold", "after_one_gold", "after_all"])
 def test_a_batch_that_fails_between_silver_and_gold_is_finished_by_the_next_run(spark, lake, monkeypatch, broken):
     first_days(lake)

@@ -325,6 +325,32 @@ def test_export_refuses_rows_without_a_date(spark, lake):
     assert ingest_jobs.available_days(spark, lake, spec) == []
 
 
+def test_exported_files_are_compressed_and_read_back(spark, lake):
+    df = spark.createDataFrame([(f"p{i}", i % 5, i, "m,\"x\"" if i % 2 else None, dt.date(2025, 9, 18 + i % 2), "SP01") for i in range(4000)], DEV.schema)
+    days = export_daily(spark, df, lake, DEV)
+    parts = [f"{p}/{f}" for p in (daily_path(lake, DEV, d) for d in days) for f in os.listdir(p) if not f.startswith((".", "_"))]
+    assert len(days) == 2 and all(f.endswith(".csv.gz") for f in parts)
+    text = sum(len(",".join("" if v is None else str(v) for v in r)) + 1 for r in df.collect())
+    assert sum(os.path.getsize(f) for f in parts) < text / 2
+    assert rows(scan_csv(spark, [daily_path(lake, DEV, d) for d in days], DEV)) == rows(df)
+
+
+def test_only_repeated_keys_of_a_batch_are_gathered(spark, monkeypatch):
+    gathered, latest_rows = [], ingest_jobs._latest_rows
+
+    def seen(df, repeated, key):
+        gathered.append(rows(repeated))
+        return latest_rows(df, repeated, key)
+    monkeypatch.setattr(ingest_jobs, "_latest_rows", seen)
+    first = "p0,1,1,a,2025-09-17,A\n"
+    _, one_job, daily = _upsert_batch_both_ways(spark, first, {
+        "2025-09-18": "p0,1,2,b,2025-09-18,A\np1,1,3,b,2025-09-18,A\n,1,4,b,2025-09-18,A\n", "2025-09-19": "p2,1,5,c,2025-09-19,A\n,1,6,c,2025-09-19,A\n"})
+    assert one_job == daily and len(daily) == 5 and gathered == []  # rows without a key do not repeat one
+    _, one_job, daily = _upsert_batch_both_ways(spark, first, {
+        "2025-09-18": "p1,1,3,b,2025-09-18,A\np2,1,4,b,2025-09-18,A\n", "2025-09-19": "p2,1,5,c,2025-09-19,A\n"})
+    assert one_job == daily and gathered == [[("p2",)]]
+
+
 def test_pipeline_day_by_day_equals_backfill(spark):
     import tempfile
     days_lake = Lake(tempfile.mkdtemp(prefix="lakeledger-days-"))
